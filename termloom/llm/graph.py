@@ -7,18 +7,10 @@ spark.checkpoint.dir after each round, which cuts the lineage and survives lost
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def checkpoint(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder; a folder is made only where the session names none (tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint"))
-    return df.checkpoint(eager=True)
+from termloom.llm.shared import checkpoint
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import chat, urls
+from termloom.llm import bpe, chat, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, expanded and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"select * from values (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') as t(conv_id, turn, role, text)")
     return chat.digest(chat.expand(rows.unionByName(extra)))
 
 
@@ -30,9 +30,19 @@ def op4_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, less those that repeat a smaller document."""
+    return substrings.prune(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+
+
+def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects, op7_substring_dedup, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
