@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, chat, substrings, urls
+from termloom.llm import bpe, chat, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.prune(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
+def op9_toxicity_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (toxicity.remainder("doc_id", 3) == 1).alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic").alias("predicted"))
+
+
 def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -42,7 +49,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects, op7_substring_dedup, op10_bpe_chunks)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
