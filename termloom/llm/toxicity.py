@@ -21,11 +21,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.tokens import _BYTES, U, Words, blocks, byte_table, mix, non_alnum, text_buffer
+from termloom.llm.tokens import _BYTES, U, Words, blocks, byte_table, mix, non_alnum, text_buffer, words_of
 
 #: English insults, a voter each.
 LEXICON = (
@@ -107,7 +108,9 @@ def choose_stems(counts: DataFrame, n_toxic: int, n_clean: int) -> np.ndarray:
     share = F.col("toxic") / (F.col("toxic") + F.col("clean") + 0.5)
     base = n_toxic / max(1, n_toxic + n_clean)
     evidence = 2 * F.col("toxic") * F.log(share / base)
-    good = counts.filter((F.col("toxic") >= STEM_TEXTS) & (share >= STEM_SHARE * F.lit(1.0) * (1 - 0.5 / (F.col("toxic") + 1))) & (evidence >= STEM_EVIDENCE))
+    # as many stems are tried, some look like a sign by chance: by Bonferroni's rule the evidence must grow with their logarithm
+    tried = counts.filter("toxic + clean >= 2").count()
+    good = counts.filter((F.col("toxic") >= STEM_TEXTS) & (share >= STEM_SHARE * F.lit(1.0) * (1 - 0.5 / (F.col("toxic") + 1))) & (evidence >= max(STEM_EVIDENCE, 2 * float(np.log(max(1, tried))))))
     found = good.orderBy(F.desc("toxic"), "length", "hash").limit(8 * MOST_STEMS).toPandas()
     chosen, inside = [], set()
     for length in STEM_LENGTHS:
@@ -177,7 +180,8 @@ def vote_rows(docs: DataFrame, voters: Voters) -> DataFrame:
 def label_model(fired: np.ndarray, known: np.ndarray, rounds: int = 12, trust: float = 0.98) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Posterior probabilities of toxicity, and the voters' firing rates by class and discounts for correlation.
 
-    fired: rows by voters, 0 or 1; known: 1, 0 or -1 by row; trust: accuracy of a known label.
+    fired: rows by voters, 0 or 1; known: 1, 0 or -1 by row; trust: accuracy of a known label.  A voter that abstains says
+    nothing; that none fires is a voter of its own.
     """
     n, m = fired.shape
     clean_voter = np.zeros(m, dtype=bool)
@@ -189,8 +193,7 @@ def label_model(fired: np.ndarray, known: np.ndarray, rounds: int = 12, trust: f
     label = np.where(known == 1, np.log(trust / (1 - trust)), np.where(known == 0, -np.log(trust / (1 - trust)), 0.0))
     p = np.zeros(n)
     for _ in range(rounds):
-        on, off = np.log(a / b), np.log((1 - a) / (1 - b))
-        score = np.log(prior / (1 - prior)) + label + fired @ (discount * (on - off)) + float((discount * off).sum())
+        score = np.log(prior / (1 - prior)) + label + fired @ (discount * np.log(a / b))
         p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
         up, down = p.sum() + 1e-9, (1 - p).sum() + 1e-9
         a = np.clip((p @ fired + 0.5) / (up + 1.5), 1e-4, 0.9999)
@@ -248,6 +251,36 @@ def remainder(doc_id: str | Column, by: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % by
 
 
+def without_copies(rows: DataFrame, sketches: int = 3) -> list[int]:
+    """Ids of rows (doc_id, text) less those whose text shares the least of its five-word hashes, under any of a few seeds, with another kept one.
+
+    Copies of one text would make each of its words look like a sign of its label.  Takes a bounded sample: one short row each goes to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, sep = byte_table(903, fold=True), non_alnum()
+        for b in batches:
+            ids = b.column("doc_id")
+            for i, j, w in words_of(b.column("text"), sep):
+                at, h = w.windows(w.hashes(table), 5)
+                out = np.zeros((j - i, sketches), dtype=np.int64)
+                row = w.row[at]
+                if len(row):
+                    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                    for k in range(sketches):
+                        out[row[first], k] = np.minimum.reduceat(mix(h + U(k)) >> U(1), first).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), *(pa.array(out[:, k]) for k in range(sketches))], ["doc_id", *(f"s{k}" for k in range(sketches))])
+
+    got = rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(["doc_id long", *(f"s{k} long" for k in range(sketches))])).toPandas().sort_values("doc_id")
+    kept, seen = [], set()
+    for doc, *least in got.itertuples(index=False):
+        marks = [(k, x) for k, x in enumerate(least) if x]
+        if not any(m in seen for m in marks):
+            kept.append(int(doc))
+        seen.update(marks)
+    return kept
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic); labels count where crc32(doc_id) mod 3 is not 1."""
     known = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -257,15 +290,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     others = docs.select("doc_id").filter("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti").orderBy(spread).limit(sample).select("doc_id", F.lit(-1).alias("known"))
     ids = picked[0].unionByName(picked[1]).unionByName(others)
     # at most 3 * sample ids: a proven bound
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["text"]).select("text", "known").persist()
+    drawn = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").persist()
     try:
+        kept = docs.sparkSession.createDataFrame(pd.DataFrame({"doc_id": np.array(without_copies(drawn), dtype=np.int64)}), "doc_id long")
+        rows = drawn.join(F.broadcast(kept), "doc_id").select("text", "known")
         sizes = {r["known"]: r["count"] for r in rows.groupBy("known").count().collect()}
         n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-        stems = choose_stems(stem_counts(rows.filter("known >= 0").withColumnRenamed("known", "toxic")), n_toxic, n_clean) if n_toxic and n_clean else np.zeros((0, 2), dtype=np.int64)
+        counts = stem_counts(rows.filter("known >= 0").withColumnRenamed("known", "toxic")).persist()
+        stems = choose_stems(counts, n_toxic, n_clean) if n_toxic and n_clean else np.zeros((0, 2), dtype=np.int64)
+        counts.unpersist()
         voters = Voters.of(stems)
         got = vote_rows(rows, voters).toPandas()
     finally:
-        rows.unpersist()
+        drawn.unpersist()
     votes = np.frombuffer(b"".join(got["votes"]), dtype=np.float32).reshape(-1, voters.n + 1) if len(got) else np.zeros((1, voters.n + 1), dtype=np.float32)
     known_rows = got["known"].to_numpy() if len(got) else np.array([-1])
     fired = (votes[:, :-1] > 0).astype(np.float64)
