@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, chat, substrings, toxicity, urls
+from termloom.llm import bpe, chat, contamination, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op4_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark."""
+    return contamination.overlaps(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, less those that repeat a smaller document."""
     return substrings.prune(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
@@ -49,7 +54,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op4_url_redirects, op5_spaced_seeds, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -26,18 +26,16 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from termloom.llm.filters import bloom, held
 from termloom.llm.shared import shared_folder
 from termloom.llm.tokens import BLOCK, U, Words, blocks, byte_table, mix, spaces, text_buffer, words_of
 
 WIDTH, GRAM = 50, 16
-#: bounds of the Bloom filter's size in bits: 16 bits an anchor between them
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 
 
 def sliding_least(x: np.ndarray, n: int) -> np.ndarray:
@@ -142,54 +140,6 @@ class FingerprintIndex:
             self.runs = [self._write(_merged(self.history()))]
 
 
-def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    m = U(bits - 1)
-    return h & m, mix(h ^ U(0xA5A5A5A5A5A5A5A5)) & m
-
-
-def bloom(spark: SparkSession, shared: DataFrame) -> tuple[np.ndarray, int]:
-    """The filter's words and its size in bits: 16 bits a hash, within fixed bounds. Gathered as or-ed 64-bit words."""
-    n = shared.count()
-    bits = int(min(MOST_BITS, max(LEAST_BITS, 1 << int(16 * max(n, 1)).bit_length())))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
-        page = 1 << 16  # bits of a page
-        for b in batches:
-            h = b.column("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-            at = np.concatenate(_slots(h, bits)).astype(np.int64)
-            at.sort()
-            pages, first = np.unique(at // page, return_index=True)
-            for p, x in zip(pages.tolist(), np.split(at, first[1:]), strict=True):
-                flags = np.zeros(page, dtype=bool)
-                flags[x - p * page] = True
-                packed = np.packbits(flags, bitorder="little")
-                kept[p] = kept[p] | packed if p in kept else packed
-        if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int64()), pa.array([v.tobytes() for v in kept.values()], pa.binary())], ["page", "flags"])
-
-    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(1 << 13, dtype=np.uint8)
-        for x in frame["flags"]:
-            out |= np.frombuffer(x, dtype=np.uint8)
-        return pd.DataFrame({"page": [key[0]], "flags": [out.tobytes()]})
-
-    pages = shared.select("hash").mapInArrow(run, "page long, flags binary")
-    pages = pages.groupBy("page").applyInPandas(merge, "page long, flags binary")
-    flags = np.zeros(bits // 8, dtype=np.uint8)
-    for r in pages.toLocalIterator():
-        flags[r["page"] << 13 : (r["page"] + 1) << 13] = np.frombuffer(r["flags"], dtype=np.uint8)
-    return flags, bits
-
-
-def _held(flags: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    a, b = _slots(h, bits)
-    bit = lambda s: (flags[(s >> U(3)).astype(np.int64)] >> (s & U(7)).astype(np.uint8)) & 1
-    out = bit(a).astype(bool)
-    out[out] = bit(b[out]).astype(bool)
-    return out
-
-
 def window_rows(docs: DataFrame, sent, bits: int, width: int = WIDTH) -> DataFrame:
     """Windows around shared anchors: (h, v, doc_id, crc, at, stop).
 
@@ -209,7 +159,7 @@ def window_rows(docs: DataFrame, sent, bits: int, width: int = WIDTH) -> DataFra
                 begins, own, _ = anchors(w, one, width)
                 if not len(begins):
                     continue
-                keep = _held(flags, bits, own) & there[w.row[begins] + i]
+                keep = held(flags, bits, own) & there[w.row[begins] + i]
                 if not keep.any():
                     continue
                 at = begins[keep]
