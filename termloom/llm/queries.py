@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, chat, contamination, licenses, substrings, toxicity, urls
+from termloom.llm import bpe, chat, contamination, licenses, neardup, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.expand(rows.unionByName(extra)))
 
 
+def op2_neardup_icws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class."""
+    return neardup.classes(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's licence phrases and labels."""
     return licenses.scan(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,7 +64,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op3_license_index, op4_url_redirects, op5_spaced_seeds, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op2_neardup_icws, op3_license_index, op4_url_redirects, op5_spaced_seeds, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
