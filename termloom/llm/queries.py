@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, chat, contamination, licenses, neardup, substrings, toxicity, urls
+from termloom.llm import ann, bpe, chat, contamination, licenses, neardup, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.overlaps(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op6_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return ann.search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, less those that repeat a smaller document."""
     return substrings.prune(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
@@ -64,7 +69,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op2_neardup_icws, op3_license_index, op4_url_redirects, op5_spaced_seeds, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op2_neardup_icws, op3_license_index, op4_url_redirects, op5_spaced_seeds, op6_hilbert_ann, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
