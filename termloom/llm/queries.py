@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import ann, bpe, chat, contamination, licenses, neardup, substrings, toxicity, urls
+from termloom.llm import ann, bpe, chat, contamination, licenses, lm, neardup, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.prune(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
+def op8_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probabilities."""
+    return lm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,7 +74,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (op1_chat_prefix_targets, op2_neardup_icws, op3_license_index, op4_url_redirects, op5_spaced_seeds, op6_hilbert_ann, op7_substring_dedup, op9_toxicity_weak, op10_bpe_chunks)}
+    return {f.__name__: f for f in (op1_chat_prefix_targets, op2_neardup_icws, op3_license_index, op4_url_redirects, op5_spaced_seeds, op6_hilbert_ann, op7_substring_dedup, op8_elias_fano_lm, op9_toxicity_weak, op10_bpe_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
