@@ -26,8 +26,9 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         after = checkpoint(spark, small.filter("a <> b"))
-        # stars only: no node is both a leaf and a centre, and each leaf has one centre
-        tangled = after.select("b").distinct().join(after.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count() or after.groupBy("a").count().filter("count > 1").limit(1).count()
+        # done when there are stars only: no node is both a leaf and a centre, and each leaf has one centre
+        roles = after.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(after.select(F.col("b").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+        tangled = roles.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre")).filter("leaf > 1 or (leaf = 1 and centre = 1)").limit(1).count()
         links = after
         if not tangled:
             break

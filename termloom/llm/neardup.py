@@ -9,9 +9,12 @@ share of n, so idf has the same floor at every size and the sketch does not grow
    bands of 4.  At similarity 0.8 a pair shares a band with probability 0.998.
 3. In each band's bucket every text is compared with the smallest member; pairs of 0.8 or more are links, and
    links' connected components are classes.
-4. A bucket whose members are still in different classes is looked at again: members outside the smallest member's class are compared with
-   all members of other classes, but for those that the triangle inequality rules out (1 - similarity is a metric).
-   So no pair that shares a band is missed, and a bucket of copies never meets itself.
+4. Buckets whose members are still in different classes are looked at again, by prefixes: if a text's shingles are put in one order
+   for all texts, rarest first, two texts of similarity t share a shingle among those that come before the last t of
+   their weight.  So members that share a band and such a shingle are compared: first with the smallest member that
+   has the shingle, then all that are still in different classes, unless the weight of what comes before the shingle in either is
+   too much for t: what comes from there on is all that they can share.  This is exact, so no link that shares a band is missed, while
+   loosely similar texts, which share a band but differ in their rare shingles, never meet.
 
 Defined results: texts without words (null, empty) are classes of their own, as are rows without doc_id (class_id null); rows that repeat
 a doc_id share its fate; an empty table gives no rows; other columns are ignored.
@@ -178,6 +181,30 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>")
 
 
+def prefixes(texts: DataFrame, idf, similar: float) -> DataFrame:
+    """(node, shingle, before, total): for each text (doc_id, text), its rarest shingles, up to those that begin the last `similar` of its weight.
+
+    before is the weight of the shingles that come before this one, total that of all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(idf.value, dtype=np.float32)
+        for b in batches:
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            for i, j, row, h, count in shingles(b.column("text")):
+                one = weights(h, np.ones(len(h)), table)
+                order = np.lexsort((h, -one, row))
+                row, h, w = row[order], h[order], (one * count)[order].astype(np.float64)
+                total = np.bincount(row, weights=w, minlength=j - i)
+                first = np.searchsorted(row, np.arange(j - i))
+                run_ = np.cumsum(w) - w
+                before = run_ - run_[np.minimum(first, max(len(run_) - 1, 0))][row]
+                keep = before <= (1 - similar + 1e-6) * total[row]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[keep] + i]), pa.array(h[keep].view(np.int64)), pa.array(before[keep]), pa.array(total[row[keep]])], ["node", "shingle", "before", "total"])
+
+    return texts.mapInArrow(run, "node long, shingle long, before double, total double")
+
+
 def similarities(pairs: DataFrame, idf) -> DataFrame:
     """(a, b, similarity) of pairs (a, b, text_a, text_b): weighted Jaccard similarity of their shingles."""
 
@@ -231,15 +258,33 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     links = stars.filter(F.col("similarity") >= similar).select("a", "b")
     first = components(spark, links)
     # buckets that still hold several classes
-    placed = members.join(first, "node", "left").select("bucket", "head", "node", F.coalesce("component", "node").alias("component"))
-    placed = placed.join(stars.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"], "left").withColumn("similarity", F.coalesce("similarity", F.lit(1.0)))
-    of_head = placed.filter("node = head").select("bucket", F.col("component").alias("of_head"))
-    placed = placed.join(of_head, "bucket")
-    out = placed.filter("component <> of_head")
-    outside = out.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("similarity").alias("sb"))
-    inside = placed.join(out.select("bucket").distinct(), "bucket", "left_semi").filter("node <> head").select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("of_head").alias("ch"), F.col("similarity").alias("sa"))
-    open_pairs = outside.join(inside, "bucket").filter((F.col("ca") != F.col("cb")) & ((F.col("ca") == F.col("ch")) | (F.col("a") < F.col("b"))) & (F.abs(F.col("sa") - F.col("sb")) <= 1 - similar + 1e-9))
-    rest = compare(open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()).filter(F.col("similarity") >= similar)
+    placed = members.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
+    open_nodes = placed.join(mixed, "bucket").groupBy("node").agg(F.first("component").alias("component"), F.collect_set("bucket").alias("bands"))
+    open_nodes = written(spark, open_nodes, "open")
+    rare = written(spark, prefixes(wanted.join(open_nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), idf, similar), "prefixes")
+    done = stars.select("a", "b")
+
+    def open_pairs(pairs: DataFrame, classes_: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes in different classes that share a band and were not compared yet."""
+        side = lambda x: classes_.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("bands").alias(f"s{x}"))
+        apart = pairs.filter("a <> b").join(side("a"), "a").join(side("b"), "b").filter((F.col("ca") != F.col("cb")) & F.arrays_overlap("sa", "sb"))
+        return apart.select("a", "b").join(done, ["a", "b"], "left_anti")
+
+    heads = rare.groupBy("shingle").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = rare.join(heads, "shingle")
+    second = compare(open_pairs(shared.select("a", F.col("node").alias("b")).distinct(), open_nodes))
+    done = done.unionByName(second.select("a", "b"))
+    links = links.unionByName(second.filter(F.col("similarity") >= similar).select("a", "b"))
+    again = components(spark, links)
+    now = open_nodes.join(again.withColumnRenamed("component", "_c"), "node", "left").select("node", F.coalesce("_c", "component").alias("component"), "bands")
+    entries = shared.select("shingle", "node", "before", "total").join(now.select("node", "component"), "node")
+    several = entries.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
+    entries = entries.join(several, "shingle", "left_semi")
+    side = lambda x: entries.select("shingle", F.col("node").alias(x), F.col("component").alias(f"c{x}"), (F.col("total") - F.col("before")).alias(f"left_{x}"), F.col("total").alias(f"w{x}"))
+    enough = F.least("left_a", "left_b") >= (similar / (1 + similar) - 1e-6) * (F.col("wa") + F.col("wb"))
+    met = side("a").join(side("b"), "shingle").filter(F.expr("a < b and ca <> cb") & enough).select("a", "b").distinct()
+    rest = compare(open_pairs(met, now)).filter(F.col("similarity") >= similar)
     found = components(spark, links.unionByName(rest.select("a", "b")))
     by_text = texts.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     with_words = signed.select("doc_id", "h1", "h2").join(by_text, ["h1", "h2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
