@@ -32,10 +32,10 @@ def sentences_of(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def tag_table(rows: DataFrame, key: str = "sent_id", most: int | None = None) -> DataFrame:
-    """The training table (Sentence #, Word, POS, Tag) of (key, pos, token, tag): the id stands at a sentence's first token only."""
+    """The training table (Sentence #, Word, POS, Tag) of (key, pos, token, tag), with key and place: the id stands at a sentence's first token only."""
     kept = rows if most is None else rows.filter(F.col("pos") < most)
     name = F.when(F.col("pos") == 0, F.concat(F.lit("Sentence: "), (F.col(key) + 1).cast("string"))).otherwise("")
-    return kept.select(key, "pos", name.alias("Sentence #"), F.col("token").alias("Word"), F.lit("--").alias("POS"), F.col("tag").alias("Tag"))
+    return kept.select(key, F.col("pos").alias("place"), name.alias("Sentence #"), F.col("token").alias("Word"), F.lit("--").alias("POS"), F.col("tag").alias("Tag"))
 
 
 def merge_pieces(rows: DataFrame, key: str = "sent_id") -> DataFrame:

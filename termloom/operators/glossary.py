@@ -64,8 +64,8 @@ def link_triples(links: DataFrame) -> DataFrame:
     return _triples(links, F.col("uri_i"), RELATED, F.col("uri_j"), False).distinct()
 
 
-def n3(triples: DataFrame) -> Column:
-    """One triple as an N-Triples line."""
+def n3() -> Column:
+    """The columns of a triple as an N-Triples line."""
     quoted = F.col("o")
     for plain, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         quoted = F.replace(quoted, F.lit(plain), F.lit(code))
