@@ -26,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from termloom.llm.tokens import _BYTES, U, byte_table, mix, text_buffer
+from termloom.llm.shared import give_back, small_batches
+from termloom.llm.tokens import _BYTES, BLOCK, U, byte_table, mix, text_buffer
 
 #: bytes that the rolling hash sees, mean length of a chunk (a power of two), bytes of cached chunks in a worker
-WINDOW, MEAN, CACHE_BYTES = 32, 1024, 64 << 20
+WINDOW, MEAN, CACHE_BYTES = 32, 1024, 48 << 20
 #: a stretch of more bytes than this goes to the library with the better worst case
 LONG = 8192
 
@@ -61,8 +62,8 @@ class Encoder:
     def plain(self, text: bytes) -> np.ndarray:
         """The ids of a stretch of text, encoded by itself."""
         if len(text) > LONG or max(text, default=0) >= 0xCA:
-            return np.array(self.exact.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int64)
-        return np.array(self.fast.encode(text.decode(), allowed_special=self.allowed, disallowed_special=()), dtype=np.int64)
+            return np.array(self.exact.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int32)
+        return np.array(self.fast.encode(text.decode(), allowed_special=self.allowed, disallowed_special=()), dtype=np.int32)
 
     def chunk(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """A chunk's ids and the byte positions at which its tokens begin and end; encoded once, then reused."""
@@ -71,13 +72,13 @@ class Encoder:
             self.cache.move_to_end(text)
             return found
         ids = self.plain(text)
-        found = ids, np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        found = ids, np.concatenate([[0], np.cumsum(self.lengths[ids])]).astype(np.int32)
         self.encoded += 1
         self.cache[text] = found
-        self.held += 17 * len(ids) + len(text)
+        self.held += 8 * len(ids) + len(text) + 400
         while self.held > CACHE_BYTES:
             old, (gone, _) = self.cache.popitem(last=False)
-            self.held -= 17 * len(gone) + len(old)
+            self.held -= 8 * len(gone) + len(old) + 400
         return found
 
     def cuts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -104,7 +105,7 @@ class Encoder:
     def encode_text(self, text: bytes, cuts: list[int], safe: np.ndarray) -> np.ndarray:
         """The ids of one text, from those of its chunks; cuts and safe are positions in it."""
         if not text:
-            return np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.int32)
         edges = [0, *cuts, len(text)]
         out, done, k = [], 0, 0
         while done < len(text):
@@ -148,7 +149,7 @@ class Encoder:
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a text column and where each row's begin and end (n + 1 offsets)."""
         raw, offsets = text_buffer(texts)
-        found, step = [], 4 << 20
+        found, step = [], BLOCK
         i, n = 0, len(offsets) - 1
         while i < n:
             j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + step, side="right")) - 1)
@@ -164,7 +165,7 @@ class Encoder:
                 found.append(self.encode_text(text, [x for x in own.tolist() if 0 < x < end], own_safe[own_safe < end]))
             i = j
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.concatenate(found) if found else np.zeros(0, dtype=np.int64), np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.int32), np.concatenate([[0], np.cumsum(sizes)])
 
     def decode_column(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
         """Each row's text as UTF-8: its tokens' bytes; bytes that are no UTF-8 give replacement characters."""
@@ -205,6 +206,7 @@ def encode(df: DataFrame, text: str = "text", name: str = "byte_bpe_50k") -> Dat
     """df with a column ids array<int>: the tokens of its text column. Narrow: no shuffle."""
     schema = f"{df.select([c for c in df.columns if c != 'ids']).schema.simpleString()[7:-1]}, ids array<int>"
     kept = [c for c in df.columns if c != "ids"]
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(name)
@@ -212,6 +214,7 @@ def encode(df: DataFrame, text: str = "text", name: str = "byte_bpe_50k") -> Dat
             ids, at = enc.encode_column(b.column(text))
             made = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), made], [*kept, "ids"])
+        give_back()
 
     return df.select(kept).mapInArrow(run, schema)
 
@@ -226,6 +229,8 @@ def round_trip(df: DataFrame, name: str = "byte_bpe_50k") -> DataFrame:
             shown = [hashlib.sha256(decimal(ids[i:j])).hexdigest() for i, j in zip(at[:-1], at[1:], strict=True)]
             back = [hashlib.sha256(x).hexdigest() for x in enc.decode_column(ids, at)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(at)), pa.array(shown, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        give_back()
 
+    small_batches(df.sparkSession)
     kind = dict(df.dtypes)["doc_id"]
     return df.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.filters import bloom, held
-from termloom.llm.shared import written
+from termloom.llm.shared import small_batches, written
 from termloom.llm.tokens import U, Words, byte_table, mix, non_alnum, words_of
 
 #: ones are compared, zeros may differ; weight 7, spans 7 to 13
@@ -146,6 +146,7 @@ def verify(pairs: DataFrame) -> DataFrame:
 
 def overlaps(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, at, item_at, n_words, n_same): for each document and item that overlap, their longest verified stretch."""
+    small_batches(spark)
     tests = written(spark, item_seeds(items), "seeds")
     flags, bits = bloom(spark, tests, least=FILTER_BITS)
     found = written(spark, stretches(docs, spark.sparkContext.broadcast(flags.tobytes()), bits), "stretches")

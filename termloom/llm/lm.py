@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import written
+from termloom.llm.shared import small_batches, written
 from termloom.llm.tokens import U, Words, blocks, byte_table, mix, spaces, text_buffer
 
 MU, ADD, HOLD_OUT = 200.0, 0.1, 10
@@ -94,8 +94,9 @@ class EliasFano:
             return np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=bool)
         h = (x >> U(8 * self.low_bytes)).astype(np.int64)
         most = int(self.zeros[-1]) - 1
-        begin = np.where(h > 0, self._select0(np.minimum(np.maximum(h - 1, 0), most)) - np.maximum(h - 1, 0), 0)
-        end = self._select0(np.minimum(h, most)) - np.minimum(h, most)
+        lower, upper = np.clip(h - 1, 0, most), np.minimum(h, most)
+        begin = np.where(h > 0, self._select0(lower) - lower, 0)
+        end = self._select0(upper) - upper
         begin, end = np.minimum(begin, self.n), np.minimum(end, self.n)
         last = end.copy()
         while (open_ := begin < end).any():
@@ -268,6 +269,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, text)."""
+    small_batches(spark)
     kind = dict(docs.dtypes)["doc_id"]
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT == 0, F.lit(False))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held.alias("held_out"), (F.col("doc_id").isNotNull() & ~held).alias("train"))

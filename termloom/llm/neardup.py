@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.graph import components
-from termloom.llm.shared import written
-from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, words_of
+from termloom.llm.shared import small_batches, written
+from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, text_buffer, words_of
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 12, 4, 0.8
+#: bytes of texts that are compared at once
+PAIR_BYTES = 1 << 20
 #: cells of the sketch: rows by columns; a page is what one row of the sum holds
 DEPTH, COLUMNS, PAGE = 2, 1 << 19, 1 << 13
 
@@ -215,9 +217,11 @@ def similarities(pairs: DataFrame, idf) -> DataFrame:
             if not n:
                 continue
             out = np.zeros(n)
-            step = max(1, min(n, 200))
-            for s in range(0, n, step):
-                m = min(step, n - s)
+            # pairs whose texts come to about PAIR_BYTES at once
+            ends = np.cumsum(sum(np.diff(text_buffer(b.column(c))[1]) for c in ("text_a", "text_b")))
+            s = 0
+            while s < n:
+                m = max(1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + PAIR_BYTES, side="right")) - s)
                 both = pa.concat_arrays([b.column("text_a").slice(s, m), b.column("text_b").slice(s, m)])
                 parts = [(row + i, h, count) for i, _, row, h, count in shingles(both)]
                 row, h, count = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -229,6 +233,7 @@ def similarities(pairs: DataFrame, idf) -> DataFrame:
                 same = np.flatnonzero((p[1:] == p[:-1]) & (g[1:] == g[:-1]))
                 common = np.bincount(p[same], weights=np.minimum(v[same], v[same + 1]), minlength=m)
                 out[s : s + m] = common / np.maximum(total[:m] + total[m:] - common, 1e-12)
+                s += m
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out)], ["a", "b", "similarity"])
 
     return pairs.mapInArrow(run, "a long, b long, similarity double")
@@ -236,6 +241,7 @@ def similarities(pairs: DataFrame, idf) -> DataFrame:
 
 def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id) of docs (doc_id, text): class_id is the smallest doc_id of the class."""
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(idf_table(docs).tobytes())
     signed = written(spark, signatures(docs, idf), "signatures")

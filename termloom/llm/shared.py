@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: bytes of rows that are handed to a Python worker at once
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of Arrow batches to BATCH_BYTES, so that a worker's memory does not depend on how long texts are."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    said = spark.conf.get(key, None) or "0"
+    now = int(said.rstrip("b")) if said.rstrip("b").lstrip("-").isdigit() else 0
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns memory that a worker no longer uses to the system, for workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one is made, and set, only where the session names none (tests)."""
     sc = spark.sparkContext

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.filters import bloom, held
-from termloom.llm.shared import shared_folder
+from termloom.llm.shared import shared_folder, small_batches
 from termloom.llm.tokens import BLOCK, U, Words, blocks, byte_table, mix, spaces, text_buffer, words_of
 
 WIDTH, GRAM = 50, 16
@@ -200,6 +200,7 @@ def covered(spark: SparkSession, docs: DataFrame, history: DataFrame | None = No
 
     history holds the texts of the index's earlier batches, whose ids are smaller; crc tells apart rows of one doc_id.
     """
+    small_batches(spark)
     index = index or FingerprintIndex(spark)
     flags, bits = bloom(spark, index.add(docs))
     index.compact()

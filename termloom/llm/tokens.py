@@ -18,7 +18,7 @@ U = np.uint64
 _BASE, _STEP = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95 | 1
 _M = (1 << 64) - 1
 #: bytes of text that are worked on at once, so that temporary arrays stay near the cache
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def spaces() -> np.ndarray:

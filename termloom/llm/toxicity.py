@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.shared import small_batches
 from termloom.llm.tokens import _BYTES, U, Words, blocks, byte_table, mix, non_alnum, text_buffer, words_of
 
 #: English insults, a voter each.
@@ -283,6 +284,7 @@ def without_copies(rows: DataFrame, sketches: int = 3) -> list[int]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic); labels count where crc32(doc_id) mod 3 is not 1."""
+    small_batches(docs.sparkSession)
     known = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(remainder("doc_id", 3) != 1)
     spread = F.xxhash64("doc_id", F.lit(5))
@@ -312,6 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with toxicity double and toxic int (1 from 0.7 on). Narrow: no shuffle."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("toxicity", "toxic")]
     types = dict(docs.dtypes)
 
