@@ -35,7 +35,7 @@ from termloom.llm.tokens import U, Words, blocks, byte_table, mix, spaces, text_
 
 MU, ADD, HOLD_OUT = 200.0, 0.1, 10
 #: bytes of text in a chunk and, about, behind a shard; parts that a hot word's bigrams are spread over
-CHUNK_BYTES, SPREAD = 16 << 20, 64
+CHUNK_BYTES, SPREAD = 10 << 20, 64
 BEGIN, END = U(0x0123456789ABCDEF), U(0xFEDCBA9876543210)
 #: codes of log10 shares: 0 is none, else evenly from LOWEST to 0
 LOWEST, CODES = -8.0, 255
