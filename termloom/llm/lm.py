@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import small_batches, written
+from termloom.llm.shared import give_back, small_batches, written
 from termloom.llm.tokens import U, Words, blocks, byte_table, mix, spaces, text_buffer
 
 MU, ADD, HOLD_OUT = 200.0, 0.1, 10
@@ -292,6 +292,8 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
         for shard, part, first, own in c.per_shard():
             out[0].append(shard)
             out[1].append(_pack(c.contexts[own], _narrow(np.diff(np.append(first, len(part)))), c.words[part], _narrow(n[part])))
+        del c, n
+        give_back()
         return pa.table({"shard": pa.array(out[0], pa.int32()), "chunk": pa.array([key[0].as_py()] * len(out[0]), pa.int32()), "asked": pa.array(out[1], pa.binary())})
 
     def serve(_: tuple, t: pa.Table) -> pa.Table:
@@ -316,6 +318,8 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 c, codes = trie.ask(a[0], a[1], a[2])
                 answers.append(_pack(_narrow(c), codes))
             del trie
+        del asked, keys, owner, n, share, counts, contexts
+        give_back()
         return pa.table({"chunk": t["chunk"], "shard": t["shard"], "told": pa.array(answers, pa.binary())})
 
     def sum_up(key: tuple, t: pa.Table, told: pa.Table) -> pa.Table:
