@@ -1,10 +1,11 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed is a mask over consecutive words: only the words at its ones are hashed, so a hit survives substitutions at its zeros.
+The masks lose nothing: wherever the words that differ lie in a stretch that is long enough and agrees enough, one of them fits.
 Test items give a hash for each mask and position.  A scan of the training texts keeps the positions whose hashes pass a Bloom
 filter of the test hashes (of bounded size; its false positives are turned down later), gathered in stretches with
 the words around them.  The hits meet the test hashes by an equi-join; each pair of document and item is then verified on the diagonal
-of its hit: the best stretch in which at least 80 % of the words agree must hold 13 words, or the whole item if that is shorter.
+of its hit: the longest stretch in which at least 80 % of the words agree must hold 13 words, or the whole item if that is shorter.
 
 Words are runs of ASCII letters and digits and of all other non-ASCII characters, A-Z lower-cased.
 
@@ -25,10 +26,15 @@ from termloom.llm.filters import bloom, held
 from termloom.llm.shared import small_batches, written
 from termloom.llm.tokens import U, Words, byte_table, mix, non_alnum, words_of
 
-#: ones are compared, zeros may differ; weight 7, spans 7 to 13
-MASKS = ("1111111", "110110010111", "1101011000111", "1011000110111")
-#: words of a verified stretch, the least for short items, share of them that agree, words kept around a hit
-LEAST, SHORT, SHARE, AROUND = 13, 8, 0.8, 48
+#: Ones are compared, zeros may differ.  The first row fits any 8 words of which one differs, with the second any 10 of which two do,
+#: with the last any 15 of which three do; a longer stretch of which 80 % agree holds one of these.  Weight 7, the last 10.
+MASKS = (
+    "1111111", "10111111", "11011111", "11101111", "11110111", "11111011", "11111101",
+    "110011111", "110110111", "1101011011", "1101110011", "1110101011", "1111000111",
+    "111110000011111",
+)
+#: words of a verified stretch, the least for short items, share of them that agree
+LEAST, SHORT, SHARE = 13, 8, 0.8
 #: bits of the filter at least
 FILTER_BITS = 1 << 24
 
@@ -77,10 +83,11 @@ def item_words(items: DataFrame) -> DataFrame:
     return items.filter("item_id is not null").select(F.col("item_id").cast("long"), "text").mapInArrow(run, "item_id long, item_words binary")
 
 
-def stretches(docs: DataFrame, sent, bits: int) -> DataFrame:
+def stretches(docs: DataFrame, sent, bits: int, around: int) -> DataFrame:
     """(doc_id, base, words, hashes, places): stretches of documents around seeds that pass the filter.
 
     base: the stretch's first word; words: hashes of its words; hashes and places: the seeds' and where they begin.
+    around: words kept on both sides of a seed, at least those of the longest item, so that an item's whole diagonal is there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,10 +106,10 @@ def stretches(docs: DataFrame, sent, bits: int) -> DataFrame:
                     continue
                 order = np.argsort(at, kind="stable")
                 at, s = at[order], s[order]
-                cut = np.flatnonzero((np.diff(at) > AROUND) | (np.diff(w.row[at]) != 0)) + 1
+                cut = np.flatnonzero((np.diff(at) > around) | (np.diff(w.row[at]) != 0)) + 1
                 for x, y in zip(np.split(at, cut), np.split(s, cut), strict=True):
                     r = w.row[x[0]]
-                    lo, hi = max(w.first[r], x[0] - AROUND), min(w.first[r + 1], x[-1] + AROUND + 13)
+                    lo, hi = max(w.first[r], x[0] - around), min(w.first[r + 1], x[-1] + around)
                     for column, value in zip(out, (ids[r + i], lo - w.first[r], h[lo:hi].tobytes(), y.view(np.int64), (x - w.first[r]).astype(np.int32)), strict=True):
                         column.append(value)
             if out[0]:
@@ -113,13 +120,13 @@ def stretches(docs: DataFrame, sent, bits: int) -> DataFrame:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """Begin and end of the stretch with the most agreeing words of which SHARE agree throughout (+1 each, -4 each other)."""
-    gain = np.where(same, 1.0, -SHARE / (1 - SHARE))
-    total = np.concatenate([[0.0], np.cumsum(gain)])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    begin = int(np.flatnonzero(total[: end + 1] == low[end])[-1]) if end else 0
-    return begin, end
+    """Begin and end of the longest stretch of which at least SHARE agree; of equally long ones the first with the most that agree."""
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -round(SHARE / (1 - SHARE))))])
+    # a stretch agrees enough if the total does not fall over it; its farthest begin is where the total first was that low
+    begin = np.searchsorted(-np.minimum.accumulate(total), -total)
+    length = np.arange(len(total)) - begin
+    end = int(np.argmax(np.where(length == length.max(), total - total[begin], -1)))
+    return int(begin[end]), end
 
 
 def verify(pairs: DataFrame) -> DataFrame:
@@ -149,10 +156,12 @@ def overlaps(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFram
     small_batches(spark)
     tests = written(spark, item_seeds(items), "seeds")
     flags, bits = bloom(spark, tests, least=FILTER_BITS)
-    found = written(spark, stretches(docs, spark.sparkContext.broadcast(flags.tobytes()), bits), "stretches")
+    whole = item_words(items)
+    longest = (whole.agg(F.max(F.length("item_words"))).first()[0] or 0) // 8
+    found = written(spark, stretches(docs, spark.sparkContext.broadcast(flags.tobytes()), bits, longest), "stretches")
     hits = found.select("doc_id", "base", F.explode(F.arrays_zip("hashes", "places")).alias("s")).select("doc_id", "base", F.col("s.hashes").alias("hash"), F.col("s.places").alias("place"))
     diagonals = hits.join(tests, "hash").select("doc_id", "base", "item_id", (F.col("place") - F.col("item_at")).alias("diagonal")).distinct()
-    pairs = diagonals.join(found.select("doc_id", "base", "words"), ["doc_id", "base"]).join(item_words(items), "item_id")
+    pairs = diagonals.join(found.select("doc_id", "base", "words"), ["doc_id", "base"]).join(whole, "item_id")
     best = F.max(F.struct("n_words", "n_same", (-F.col("at")).alias("a"), (-F.col("item_at")).alias("i"))).alias("b")
     return verify(pairs).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("b.a")).alias("at"), (-F.col("b.i")).alias("item_at"), "b.n_words", "b.n_same")
 

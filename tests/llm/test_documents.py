@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +162,51 @@ def test_contamination(spark, docs):
     assert contamination.overlaps(spark, own.limit(0), tests).count() == 0
 
 
+def brute_stretch(same):
+    """(words, words that agree) of the longest stretch of which 80 % agree."""
+    sums = [0, *np.cumsum(same).tolist()]
+    return max(((z - a, sums[z] - sums[a]) for z in range(len(sums)) for a in range(z + 1) if 5 * (sums[z] - sums[a]) >= 4 * (z - a)), default=(0, 0))
+
+
+def test_best_stretch():
+    rng = random.Random(21)
+    for _ in range(400):
+        same = np.array([rng.random() < rng.choice((0.5, 0.8, 0.95)) for _ in range(rng.randint(0, 40))], dtype=bool)
+        a, z = contamination.best_stretch(same)
+        assert (z - a, int(same[a:z].sum())) == brute_stretch(same)
+
+
+def test_masks_lose_nothing():
+    for n in range(contamination.SHORT, 21):
+        left = [set(range(n)) - {at + k for k, c in enumerate(m) if c == "1"} for m in contamination.MASKS for at in range(n - len(m) + 1)]
+        assert all(any(x.issuperset(differ) for x in left) for differ in combinations(range(n), n // 5)), n
+
+
+def test_substituted_passages(spark):
+    rng = random.Random(22)
+    items = [(k, [f"w{k}x{i}" for i in range(n)]) for k, n in enumerate((*range(7, 31), 60))]
+    docs, want = [], {}
+    for k, item in items:
+        for subs in (0, 1, 2, 3, 4):
+            for _ in range(6):
+                n = rng.randint(min(len(item), 8), len(item))
+                a = rng.randint(0, len(item) - n)
+                there = item[a : a + n]
+                for i in rng.sample(range(n), subs):
+                    there[i] = f"other{rng.randrange(10**9)}"
+                before = rng.randint(0, 80)
+                text = [f"b{i}" for i in range(before)] + there + [f"c{i}" for i in range(rng.randint(0, 80))]
+                lo, hi = max(0, a - before), min(len(item), a - before + len(text))
+                best = brute_stretch([text[before - a + i] == item[i] for i in range(lo, hi)])
+                if best[0] >= max(8, min(13, len(item))):
+                    want[len(docs), k] = best
+                docs.append((len(docs), " ".join(text)))
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = contamination.overlaps(spark, spark.createDataFrame(docs, "doc_id long, text string"), tests).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["n_words"], r["n_same"]) for r in got} == want
+    assert {k for _, k in want} == set(range(1, 25)) and len(want) < len(docs)
+
+
 def test_filter_holds_all(spark):
     h = np.random.default_rng(0).integers(0, 1 << 63, 5000)
     flags, bits = filters.bloom(spark, spark.createDataFrame([(int(x),) for x in h], "hash long"))
