@@ -2,7 +2,7 @@
 
 Texts are words of ASCII letters and digits and other non-ASCII characters, A-Z lower-cased.  A first pass keeps, of each
 whole text, the positions of words that occur in a licence template.  Over all texts it counts how many hold each such
-word, which gives idf.  Each text's highest-idf licence words look up the templates' postings; those that agree on
+word, which gives idf.  Each text's licence words, all of them, look up the templates' postings; those that agree on
 where the template would begin, give or take a few words, count together.  A template is found if enough of the idf of its rare words is
 there and one of its mandatory key phrases stands in the text, word by word.
 
@@ -49,8 +49,8 @@ TEMPLATES = (
 )
 #: Words too common to be looked up; a key phrase is checked at its other words' places.
 COMMON = ("a", "and", "any", "are", "at", "by", "can", "for", "in", "into", "is", "it", "may", "not", "of", "or", "that", "the", "this", "to", "use", "with", "you")
-#: words looked up in a text, how far apart beginnings may lie, share of a template's rare idf that must be there
-LOOKUPS, SLACK, SHARE = 12, 8, 0.5
+#: how far apart beginnings may lie, share of a template's rare idf that must be there
+SLACK, SHARE = 8, 0.5
 
 
 def lower_ascii(c: Column) -> Column:
@@ -114,10 +114,7 @@ def idf_by_word(found: DataFrame) -> dict[str, float]:
 def matches(spark: SparkSession, rows: DataFrame, idf: dict[str, float]) -> DataFrame:
     """(row, labels, score) of rows (row, found): the templates that are there and the best share of a template's rare idf."""
     postings = spark.sql("select * from values " + ", ".join(f"('{w}', {t}, {i}L, {idf[w]}D)" for t, (_, text, _) in enumerate(TEMPLATES) for i, w in rare_words(text)) + " as p(word, template, place, idf)")
-    weight = F.create_map(*[F.lit(x) for w in vocabulary() for x in (w, idf[w])])
-    distinct = F.array_distinct(F.transform("found", lambda x: F.struct((-F.element_at(weight, x["word"])).alias("w"), x["word"].alias("word"))))
-    top = F.transform(F.slice(F.array_sort(distinct), 1, LOOKUPS), lambda x: x["word"])
-    looked = rows.filter(F.size("found") > 0).withColumn("top", top).select("row", F.explode(F.filter("found", lambda x: F.array_contains("top", x["word"]))).alias("x")).select("row", "x.at", "x.word")
+    looked = rows.select("row", F.explode("found").alias("x")).select("row", "x.at", "x.word")
     hits = looked.join(F.broadcast(postings), "word").select("row", "template", "word", "idf", (F.col("at") - F.col("place")).alias("begin"))
     # a beginning counts for its own cell and the next, so that near beginnings meet in one of them
     cells = hits.select("row", "template", "word", "idf", F.explode(F.array(F.floor(F.col("begin") / SLACK), F.floor(F.col("begin") / SLACK) + 1)).alias("cell")).distinct()

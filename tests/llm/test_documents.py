@@ -261,6 +261,25 @@ def test_licences(spark, docs):
     assert licenses.scan(spark, corpus.empty(spark)).count() == 0
 
 
+def test_licences_of_several_notices(spark):
+    texts = dict.fromkeys(t for _, t, _ in licenses.TEMPLATES)
+    label = {t: x for x, t, _ in licenses.TEMPLATES}
+    rng = random.Random(31)
+    long = list(texts)
+    cases = [rng.sample(long, n) for n in (2, 2, 3, 3, 4, 4, 5, 5, len(long))]
+    named = lambda *labels: [t for t in long if label[t] in labels and "released" not in t]
+    cases += [named("bsd", "mpl"), named("bsd", "isc", "mpl"), named("bsd", "isc", "mpl", "epl")]
+    rows = [(k, (" " + corpus.prose(rng, 400) + " ").join(c)) for k, c in enumerate(cases)]
+    # a long document: one notice at its end, after all rare words of the others in an order that no template has
+    rows.append((100, " ".join([*sorted(licenses.vocabulary(), reverse=True) * 40, corpus.prose(rng, 5000), *named("epl")])))
+    rows += [(1000 + k, corpus.prose(rng, 50)) for k in range(300)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, c in enumerate(cases):
+        assert {label[t] for t in c} <= set(got[k]["labels"].split(",")) and got[k]["score"] == 1, c
+    assert "epl" in got[100]["labels"].split(",") and got[100]["score"] == 1
+    assert got[1000]["labels"] == ""
+
+
 def brute_scores(rows, mu=lm.MU):
     tokens = [(i, [*corpus.words(corpus.lower(t)), "\0end"]) for i, t, *_ in rows]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
