@@ -25,6 +25,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.llm.shared import give_back, small_batches
 from termloom.llm.tokens import _BYTES, BLOCK, U, byte_table, mix, text_buffer
@@ -204,8 +206,9 @@ def decimal(ids: np.ndarray) -> bytes:
 
 def encode(df: DataFrame, text: str = "text", name: str = "byte_bpe_50k") -> DataFrame:
     """df with a column ids array<int>: the tokens of its text column. Narrow: no shuffle."""
-    schema = f"{df.select([c for c in df.columns if c != 'ids']).schema.simpleString()[7:-1]}, ids array<int>"
     kept = [c for c in df.columns if c != "ids"]
+    rows = df.select(*(F.col(f"`{c}`") for c in kept))
+    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +219,7 @@ def encode(df: DataFrame, text: str = "text", name: str = "byte_bpe_50k") -> Dat
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), made], [*kept, "ids"])
         give_back()
 
-    return df.select(kept).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def round_trip(df: DataFrame, name: str = "byte_bpe_50k") -> DataFrame:

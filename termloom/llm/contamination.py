@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.filters import bloom, held
-from termloom.llm.shared import small_batches, written
+from termloom.llm.shared import small_batches, unused, written
 from termloom.llm.tokens import U, Words, byte_table, mix, non_alnum, words_of
 
 #: Ones are compared, zeros may differ.  The first row fits any 8 words of which one differs, with the second any 10 of which two do,
@@ -168,4 +168,6 @@ def overlaps(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFram
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that overlap an item; documents without id stay."""
-    return docs.join(overlaps(spark, docs, items).select(F.col("doc_id").alias("_found")).distinct(), docs["doc_id"].cast("long") == F.col("_found"), "left_anti")
+    key = unused(docs, "_found")
+    found = overlaps(spark, docs, items).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(found, F.col("doc_id").cast("long") == F.col(key), "left_anti")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.graph import components
-from termloom.llm.shared import small_batches, written
+from termloom.llm.shared import small_batches, unused, written
 from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, text_buffer, words_of
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 12, 4, 0.8
@@ -299,5 +299,6 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
 
 def thin(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs less those of which a smaller document of the same class is there; rows without doc_id stay."""
-    gone = classes(spark, docs).filter("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    key = unused(docs, "_gone")
+    gone = classes(spark, docs).filter("class_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti")

@@ -1,41 +1,48 @@
 """Substring deduplication over a log-structured fingerprint index.
 
 A window is 50 consecutive words of one document; words of it go if the same 50 words also begin in a document with a smaller
-id.  Words are separated by white space and compared unchanged.
+id.  Words are separated by white space and compared unchanged.  Documents come in batches of rising ids.
 
 * **Fingerprints.** Of each 35 consecutive 16-word hashes the smallest is an *anchor*.  Any 50-word window holds
   35 of them, so equal windows hold equal anchors: about one word in 18 needs an entry, and nothing is lost.
-* **Runs.** A batch's anchors become an immutable run, sorted by hash: (hash, smallest and largest document
-  that has it).  A batch is merge-joined with the runs before it; hashes that at least two documents have are *shared*.
-  Runs are merged once there are `fan_in` of them, so a lookup never reads many.
-* **Verification.** Only windows around shared anchors are looked at.  Within a batch of rows, all but the smallest
-  document's copy of a window are settled on the spot, which also keeps a passage that a third of all documents hold from gathering in one
-  task.  The rest meet by a 64-bit window hash and must agree in a second, independent hash of 32 bits.
+* **Runs.** A batch's anchors become an immutable run, bucketed and sorted by hash: (hash, smallest and largest document
+  that has it).  It is merge-joined with the runs before it, bucket by bucket and without a shuffle; anchors that two documents have are *shared*.
+* **Verification.** Only windows around shared anchors are looked at.  They become a second run, bucketed and sorted by a 64-bit
+  window hash: (hash, a second, independent hash of 32 bits, smallest document that has the window).  The batch's windows are merge-joined with
+  this run and all runs of windows before it.  Within a batch of rows, all but the smallest document's copy of a window are settled on
+  the spot, so a passage that a third of all documents hold never gathers in one task.
+* **History.** A text is read again only if an anchor that it alone had turns up in a later batch, once for each such batch; its windows join the
+  batch's run.  All other windows that matter are in the runs already.
+* **Compaction.** `fan_in` runs of one level are merged into one of the next, which keeps the smallest document of each entry, and are deleted.
 
 Shared anchors reach the scan as a Bloom filter of bounded size: its false positives only add windows that
 verification turns down, so results never depend on it.
 
 Defined results: a null or empty text has no words; a row without doc_id is kept unchanged and matches nothing; rows that repeat a doc_id are one
-document, so they don't remove each other's words; texts of under 50 words stay; an empty table gives no rows.
+document, so they don't remove each other's words; texts of under 50 words stay; an empty table gives no rows; a batch whose ids are
+not above those before it is refused.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.filters import bloom, held
-from termloom.llm.shared import shared_folder, small_batches
+from termloom.llm.shared import bucketed, discard, small_batches, written
 from termloom.llm.tokens import BLOCK, U, Words, blocks, byte_table, mix, spaces, text_buffer, words_of
 
 WIDTH, GRAM = 50, 16
+#: batches that a table is dealt into, runs of one level that are merged
+BATCHES, FAN_IN = 3, 2
 
 
 def sliding_least(x: np.ndarray, n: int) -> np.ndarray:
@@ -100,46 +107,6 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "hash long, least long, most long")
 
 
-def _merged(entries: DataFrame) -> DataFrame:
-    return entries.groupBy("hash").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-
-
-class FingerprintIndex:
-    """Sorted runs of anchors in a shared folder; `add` takes batches in the order of their doc_ids."""
-
-    def __init__(self, spark: SparkSession, folder: str | None = None, fan_in: int = 4) -> None:
-        self.spark, self.fan_in = spark, fan_in
-        self.folder = folder or f"{shared_folder(spark)}/fingerprints-{uuid.uuid4().hex}"
-        self.runs: list[str] = []
-
-    def history(self) -> DataFrame | None:
-        """All entries of the runs so far."""
-        return self.spark.read.parquet(*self.runs) if self.runs else None
-
-    def _write(self, entries: DataFrame) -> str:
-        path = f"{self.folder}/run-{uuid.uuid4().hex}"
-        entries.sortWithinPartitions("hash").write.option("compression", "zstd").parquet(path)
-        return path
-
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Appends a run with the anchors of docs (doc_id, text); the shared anchors of docs: (hash), of two documents at least."""
-        run = self._write(_merged(anchor_rows(docs)))
-        new, old = self.spark.read.parquet(run), self.history()
-        self.runs.append(run)
-        if old is not None:
-            past = _merged(old)
-            joined = new.join(past.select("hash", F.col("least").alias("o_least"), F.col("most").alias("o_most")), "hash", "left")
-            shared = joined.filter("least < most or o_least < most or o_most > least").select("hash")
-        else:
-            shared = new.filter("least < most").select("hash")
-        return shared
-
-    def compact(self) -> None:
-        """Merges the runs into one, once there are fan_in of them."""
-        if len(self.runs) >= self.fan_in:
-            self.runs = [self._write(_merged(self.history()))]
-
-
 def window_rows(docs: DataFrame, sent, bits: int, width: int = WIDTH) -> DataFrame:
     """Windows around shared anchors: (h, v, doc_id, crc, at, stop).
 
@@ -195,22 +162,122 @@ def window_rows(docs: DataFrame, sent, bits: int, width: int = WIDTH) -> DataFra
     return rows.mapInArrow(run, "h long, v int, doc_id long, crc long, at int, stop int")
 
 
-def covered(spark: SparkSession, docs: DataFrame, history: DataFrame | None = None, index: FingerprintIndex | None = None, width: int = WIDTH) -> DataFrame:
-    """(doc_id, crc, at, stop): stretches of words that repeat smaller documents of docs or of history.
+@dataclass
+class Run:
+    """An immutable sorted run and how often it was merged."""
 
-    history holds the texts of the index's earlier batches, whose ids are smaller; crc tells apart rows of one doc_id.
-    """
+    rows: DataFrame
+    level: int
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+class FingerprintIndex:
+    """Sorted runs of anchors and of windows in the shared folder; `add` takes batches in the order of their doc_ids."""
+
+    def __init__(self, spark: SparkSession, width: int = WIDTH, fan_in: int = FAN_IN) -> None:
+        self.spark, self.width, self.fan_in = spark, width, fan_in
+        self.anchors: list[Run] = []
+        self.windows: list[Run] = []
+        self.most: int | None = None
+
+    def _anchors_merged(self, rows: DataFrame) -> DataFrame:
+        merged = rows.groupBy("hash").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        return bucketed(self.spark, merged, "anchors", "hash")
+
+    def _windows_merged(self, rows: DataFrame) -> DataFrame:
+        merged = rows.groupBy("h", "v").agg(F.min("doc_id").alias("doc_id"))
+        return bucketed(self.spark, merged, "windows", "h")
+
+    def _shared(self, run: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(hash) of the run's anchors that two documents have, and (doc_id) of the earlier ones that had one of these alone."""
+        alone = run.filter("least < most").select("hash")
+        if not self.anchors:
+            return alone, run.select(F.col("least").alias("doc_id")).limit(0)
+        past = [r.rows.select("hash", "least", "most").join(run.select("hash"), "hash") for r in self.anchors]
+        seen = written(self.spark, _all(past).groupBy("hash").agg(F.min("least").alias("least"), F.max("most").alias("most")), "seen")
+        return alone.unionByName(seen.select("hash")).distinct(), seen.filter("least = most").select(F.col("least").alias("doc_id")).distinct()
+
+    def add(self, docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
+        """(doc_id, crc, at, stop): stretches of words of docs (doc_id, text) that repeat smaller documents of docs or of earlier batches.
+
+        history holds the texts of earlier batches, if there were any; crc tells apart rows of one doc_id.
+        """
+        spark = self.spark
+        run = self._anchors_merged(anchor_rows(docs))
+        ends = run.agg(F.min("least").alias("low"), F.max("most").alias("high")).first()
+        if self.most is not None and ends["low"] is not None and ends["low"] <= self.most:
+            raise ValueError(f"batches must come in the order of their ids: {ends['low']} after {self.most}")
+        shared, again = self._shared(run)
+        shared = written(spark, shared, "shared")
+        flags, bits = bloom(spark, shared)
+        sent = spark.sparkContext.broadcast(flags.tobytes())
+        rows = bucketed(spark, window_rows(docs, sent, bits, self.width), "window_rows", "h")
+        open_ = rows.filter("stop is null")
+        known = open_.select("h", "v", "doc_id")
+        if history is not None and self.anchors:
+            texts = history.select(F.col("doc_id").cast("long"), "text").join(again, "doc_id", "left_semi")
+            known = known.unionByName(window_rows(texts, sent, bits, self.width).select("h", "v", "doc_id"))
+        self.windows.append(Run(self._windows_merged(known), 0))
+        self.anchors.append(Run(run, 0))
+        self.most = max(x for x in (self.most, ends["high"]) if x is not None) if (self.most, ends["high"]) != (None, None) else None
+        found = [rows.filter("stop is not null")]
+        for r in self.windows:
+            past = r.rows.select(F.col("h").alias("_h"), F.col("v").alias("_v"), F.col("doc_id").alias("_least"))
+            # h alone is the key that both sides are bucketed by, so the second hash is compared as a range
+            same = (F.col("h") == F.col("_h")) & F.col("v").between(F.col("_v"), F.col("_v")) & (F.col("_least") < F.col("doc_id"))
+            found.append(open_.join(past, same, "left_semi"))
+        spans = written(spark, _all(found).select("doc_id", "crc", "at", F.coalesce("stop", F.col("at") + self.width).alias("stop")), "spans")
+        discard(spark, rows, shared)
+        return spans
+
+    def compact(self) -> None:
+        """Merges runs of one level, once there are fan_in of them, and deletes them."""
+        self.anchors = self._compacted(self.anchors, self._anchors_merged)
+        self.windows = self._compacted(self.windows, self._windows_merged)
+
+    def _compacted(self, runs: list[Run], merge) -> list[Run]:
+        levels = [r.level for r in runs]
+        for level in sorted(set(levels)):
+            own = [r for r in runs if r.level == level]
+            if len(own) >= self.fan_in:
+                made = Run(merge(_all([r.rows for r in own])), level + 1)
+                discard(self.spark, *(r.rows for r in own))
+                return self._compacted([*(r for r in runs if r.level != level), made], merge)
+        return runs
+
+    def drop(self) -> None:
+        """Deletes all runs."""
+        discard(self.spark, *(r.rows for r in (*self.anchors, *self.windows)))
+        self.anchors, self.windows = [], []
+
+
+def batches_of(docs: DataFrame, n: int) -> list[tuple[DataFrame, DataFrame]]:
+    """(batch, all before it): docs cut by doc_id into n batches of about as many rows; rows without id are in none."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    found = ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 1000).alias("c")).first()["c"] if n > 1 else []
+    cuts = sorted(set(found or []))
+    own = F.col("doc_id")
+    out = []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        above, upto = (own > low) if low is not None else F.lit(True), (own <= high) if high is not None else F.lit(True)
+        out.append((ids.filter(above & upto), ids.filter(own <= low) if low is not None else ids.limit(0)))
+    return out
+
+
+def covered(spark: SparkSession, docs: DataFrame, width: int = WIDTH, batches: int = BATCHES) -> DataFrame:
+    """(doc_id, crc, at, stop): stretches of words that repeat smaller documents of docs, which go through an index batch by batch."""
     small_batches(spark)
-    index = index or FingerprintIndex(spark)
-    flags, bits = bloom(spark, index.add(docs))
-    index.compact()
-    texts = docs.select("doc_id", "text")
-    if history is not None:
-        texts = texts.unionByName(history.select("doc_id", "text"))
-    rows = window_rows(texts, spark.sparkContext.broadcast(flags.tobytes()), bits, width)
-    least = F.min("doc_id").over(Window.partitionBy("h", "v"))
-    met = rows.withColumn("least", F.when(F.col("stop").isNull(), least))
-    return met.filter("stop is not null or least < doc_id").select("doc_id", "crc", "at", F.coalesce("stop", F.col("at") + width).alias("stop"))
+    index, spans = FingerprintIndex(spark, width), []
+    own = batches_of(docs, batches)
+    for k, (batch, before) in enumerate(own):
+        spans.append(index.add(batch, before))
+        if k < len(own) - 1:
+            index.compact()
+    index.drop()
+    return _all(spans)
 
 
 def _kept(words: Words, row: int, spans: np.ndarray, data: bytes) -> tuple[int, int, bytes]:
@@ -228,22 +295,28 @@ def _kept(words: Words, row: int, spans: np.ndarray, data: bytes) -> tuple[int,
     return n, n - len(at), b" ".join([data[s:e] for s, e in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
 
 
-def prune(spark: SparkSession, docs: DataFrame, history: DataFrame | None = None, index: FingerprintIndex | None = None, digest: bool = False) -> DataFrame:
+def prune(spark: SparkSession, docs: DataFrame, digest: bool = False, spans: DataFrame | None = None) -> DataFrame:
     """docs with n_words and n_removed, and with the kept words as text (texts that lose nothing stay as they are).
 
-    digest: the kept words' SHA-256 as kept_sha256 instead, of texts that lose nothing too.
+    digest: the kept words' SHA-256 as kept_sha256 instead, of texts that lose nothing too.  spans: what an index said of docs,
+    batch by batch; else docs go through one of their own.
     """
     packed = F.shiftleft(F.col("at").cast("long"), 32) + F.col("stop")
-    spans = covered(spark, docs, history, index).groupBy(F.col("doc_id").alias("_doc"), F.col("crc").alias("_crc")).agg(F.collect_list(packed).alias("_spans"))
-    own = docs.columns if not digest else ["doc_id", "text"]
-    rows = docs.select(own).join(spans, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.crc32(F.coalesce("text", F.lit(""))) == F.col("_crc")), "left").drop("_doc", "_crc")
-    kept = [c for c in own if c != "text" and c not in ("n_words", "n_removed")]
+    spans = covered(spark, docs) if spans is None else spans
+    spans = spans.groupBy(F.col("doc_id").alias("_doc"), F.col("crc").alias("_crc")).agg(F.collect_list(packed).alias("_spans"))
+    named = docs if not digest else docs.select("doc_id", "text")
+    kept = [c for c in named.columns if c != "text" and c not in ("n_words", "n_removed")]
+    # the columns under names that nothing here uses, so that none clashes
+    aside = {c: f"_c{k}" for k, c in enumerate(kept)}
+    text = F.col("_text")
+    rows = named.select(*(F.col(f"`{c}`").alias(a) for c, a in aside.items()), F.col("text").alias("_text"))
+    rows = rows.join(spans, (F.col(aside["doc_id"]).cast("long") == F.col("_doc")) & (F.crc32(F.coalesce(text, F.lit(""))) == F.col("_crc")), "left").drop("_doc", "_crc")
     last = "kept_sha256" if digest else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sep = spaces()
         for b in batches:
-            raw, offsets = text_buffer(b.column("text"))
+            raw, offsets = text_buffer(b.column("_text"))
             lists = b.column("_spans")
             packed = lists.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
@@ -265,12 +338,11 @@ def prune(spark: SparkSession, docs: DataFrame, history: DataFrame | None = None
                     texts.append(hashlib.sha256(text).hexdigest() if digest else text.decode())
             new = pa.array(texts, pa.string())
             if not digest:
-                was = b.column("text")
+                was = b.column("_text")
                 new = pa.compute.if_else(pa.array(np.array(n_removed) > 0), new, was.cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), new], [*kept, "n_words", "n_removed", last])
-
-    types = dict(docs.select(kept).dtypes)
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in types.items()), "n_words long", "n_removed long", f"{last} string"])
-    return rows.mapInArrow(run, schema)
-
+            yield pa.RecordBatch.from_arrays([*(b.column(a) for a in aside.values()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), new], [*aside.values(), "n_words", "n_removed", last])
 
+    types = [f.dataType.simpleString() for f in rows.select(*aside.values()).schema.fields]
+    schema = ", ".join([*(f"{a} {t}" for a, t in zip(aside.values(), types, strict=True)), "n_words long", "n_removed long", f"{last} string"])
+    out = rows.mapInArrow(run, schema)
+    return out.select(*(F.col(a).alias(c) for c, a in aside.items()), "n_words", "n_removed", last)

@@ -63,16 +63,40 @@ def test_substrings(spark, docs):
 
 
 def test_substrings_in_batches(spark, docs):
-    """Batches in the order of their ids cut what one batch of all would."""
-    index = substrings.FingerprintIndex(spark, fan_in=2)
-    got, history = {}, None
-    for low, high in ((0, 30), (30, 60), (60, 10_000)):
-        batch = docs.filter((F.col("doc_id") >= low) & (F.col("doc_id") < high))
-        for r in substrings.prune(spark, batch, history, index, digest=True).collect():
-            got[r["doc_id"]] = (r["n_words"], r["n_removed"], r["kept_sha256"])
-        history = batch if history is None else history.unionByName(batch)
-    assert len(index.runs) <= 2
-    assert got == {k: v[0] for k, v in brute_cut(corpus.rows()).items() if k is not None}
+    """Batches in the order of their ids cut what one batch of all would; runs are merged and refuse older ids."""
+    want = {k: v[0] for k, v in brute_cut(corpus.rows()).items() if k is not None}
+    for fan_in in (2,):
+        index = substrings.FingerprintIndex(spark, fan_in=fan_in)
+        got, history, edges = {}, docs.limit(0), (0, 25, 26, 50, 10_000)
+        for low, high in zip(edges, edges[1:], strict=False):
+            batch = docs.filter((F.col("doc_id") >= low) & (F.col("doc_id") < high))
+            spans = index.add(batch, history)
+            for r in substrings.prune(spark, batch, digest=True, spans=spans).collect():
+                got[r["doc_id"]] = (r["n_words"], r["n_removed"], r["kept_sha256"])
+            index.compact()
+            assert max(Counter(r.level for r in index.windows).values()) < fan_in and len(index.anchors) < 5
+            history = history.unionByName(batch)
+        assert got == want
+        with pytest.raises(ValueError, match="order"):
+            index.add(docs.filter("doc_id = 25"))
+        index.drop()
+
+
+def test_substring_batches_are_whole(spark, docs):
+    ids = sorted(r["doc_id"] for r in docs.select("doc_id").collect() if r["doc_id"] is not None)
+    for n in (1, 4, 200):
+        parts = [sorted(r["doc_id"] for r in b.collect()) for b, _ in substrings.batches_of(docs, n)]
+        assert sorted(x for p in parts for x in p) == ids and all(not set(p) & set(q) for p, q in combinations(parts, 2))
+
+
+def test_clashing_columns(spark, docs):
+    """Columns that are named as the operators' own pass through unchanged."""
+    odd = docs.select("doc_id", "text", *(F.lit(f"kept {c}").alias(c) for c in ("_found", "_gone", "_doc", "_crc", "_spans", "_c0", "_text", "class_id", "hash", "a b", "h1", "stop", "ids_", "bands")))
+    others = [c for c in odd.columns if c not in ("doc_id", "text")]
+    items = spark.createDataFrame([(1, corpus.rows()[7][1], "x")], "item_id long, text string, _found string")
+    for got in (contamination.clean(spark, odd, items), neardup.thin(spark, odd), substrings.prune(spark, odd), bpe.encode(odd)):
+        assert set(odd.columns) <= set(got.columns)
+        assert {tuple(r) for r in got.select(*(f"`{c}`" for c in others)).distinct().collect()} == {tuple(f"kept {c}" for c in others)}
 
 
 def test_sliding_least():
