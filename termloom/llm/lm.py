@@ -1,19 +1,27 @@
-"""Language-model scores from an Elias-Fano trie of unigrams and bigrams, in shards.
+"""Language-model scores from an Elias-Fano trie of unigrams, bigrams and trigrams, in shards.
 
 Tokens are words between white space, A-Z lower-cased, and an end after each text; each text begins in a context of its own.
-p(w | v) = c(v w) / (c(v) + MU) + MU / (c(v) + MU) * p(w) with p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
+With c counting training texts, M = 200 and L = 20,
+p(w | u v) = c(u v w) / (c(u v) + L) + L / (c(u v) + L) * p(w | v),
+p(w | v) = c(v w) / (c(v) + M) + M / (c(v) + M) * p(w) and p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
 
 The model grows with the corpus, so no process holds all of it:
 
-1. Word counts give N, V and the few *hot* words that would fill a shard by themselves (a bounded list).
-2. Texts are dealt into chunks.  A chunk sends each shard its distinct bigrams, once, with their counts in training texts.  The
-   shard of a bigram is that of its first word; a hot word's bigrams are spread by the second one.
-3. A shard merges what the chunks sent into its part of the trie, in levels that are written to a file and mapped into memory: contexts
-   (Elias-Fano over sorted hashes), their counts (over running totals), pointers to their successors, the
+1. Word counts give N, V and the *hot* words, which would fill an eighth of a shard by themselves; a second count of pairs of
+   hot words gives the hot pairs.  These lists hold at most eight contexts a shard and order.
+2. Texts are dealt into chunks, a table in buckets that is read twice without a shuffle.  A chunk sends each shard its distinct n-grams, once, with
+   their counts in training texts: one message for each chunk and shard, as a shuffle has one block.  The shard of an n-gram is that of its
+   context; a hot context's n-grams are spread by their last word over as many shards as its count asks for.
+3. A shard merges what the chunks sent into its part of the trie, in levels that are written to a file and mapped into memory: contexts of one and two
+   words (Elias-Fano over sorted hashes), their counts (over running totals), pointers to their successors, the
    successors' 32-bit hashes relative to their context (over context index and hash together), and
-   an 8-bit code of each smoothed share c(v w) / (c(v) + MU).  It answers each chunk's bigrams, in the order they came, with one byte each.
+   an 8-bit code of each smoothed share.  It answers each chunk's n-grams, in the order they came, with one byte each.
+   The file is the task's own: a lost task builds it again.
 4. The chunk finds its tokens' codes by that order and sums log10 p over each text.
 
+Words are known by 64-bit hashes, successors of a context by 32 bits: of a context with s distinct successors, an unseen word is taken for
+one of them with probability s / 2**32.
+
 Defined results: a null or empty text is one end; rows without doc_id are scored, never learnt from; repeated rows count and are scored as often as
 they occur; with no training texts the counts are 0 and p(w) is uniform; an empty table gives no rows.
 """
@@ -23,6 +31,7 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +39,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import give_back, small_batches, written
+from termloom.llm.shared import bucketed, discard, give_back, small_batches, written
 from termloom.llm.tokens import U, Words, blocks, byte_table, mix, spaces, text_buffer
 
-MU, ADD, HOLD_OUT = 200.0, 0.1, 10
-#: bytes of text in a chunk and, about, behind a shard; parts that a hot word's bigrams are spread over
-CHUNK_BYTES, SPREAD = 10 << 20, 64
+#: weight of the shorter context after one and two words
+MU = np.array([200.0, 20.0])
+ADD, HOLD_OUT = 0.1, 10
+#: bytes of text in a chunk and, about, behind a shard; a context is hot with so much of a shard's share, and with so many words at least
+CHUNK_BYTES, HOT, LEAST_HOT = 10 << 20, 8, 1000
 BEGIN, END = U(0x0123456789ABCDEF), U(0xFEDCBA9876543210)
 #: codes of log10 shares: 0 is none, else evenly from LOWEST to 0
 LOWEST, CODES = -8.0, 255
@@ -191,10 +202,25 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint64)
 
 
-class Chunk:
-    """The bigrams of some texts: distinct ones, by context and word, and those of each token."""
+def order_of(contexts: np.ndarray) -> np.ndarray:
+    """0 for contexts of one word, 1 for those of two: their last bit."""
+    return (contexts & U(1)).astype(np.int64)
+
+
+def one_word(words: np.ndarray) -> np.ndarray:
+    """The contexts that words make."""
+    return words & ~U(1)
+
+
+def two_words(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The contexts that two contexts of one word make."""
+    return mix(before * U(0x9E3779B97F4A7C15) + last) | U(1)
+
 
-    def __init__(self, texts: pa.ChunkedArray | pa.Array, train: np.ndarray, hot: np.ndarray, shards: int) -> None:
+class Tokens:
+    """The tokens of some texts: how many each text has and where they begin, their hashes, and their contexts of one and two words."""
+
+    def __init__(self, texts: pa.ChunkedArray | pa.Array) -> None:
         table, sep = byte_table(401, fold=True), spaces()
         raw, offsets = text_buffer(texts)
         hs, ns = [], []
@@ -203,40 +229,78 @@ class Chunk:
             hs.append(w.hashes(table))
             ns.append(np.diff(w.first))
         one = np.concatenate(hs) if hs else np.zeros(0, dtype=np.uint64)
-        n = np.concatenate(ns) if ns else np.zeros(0, dtype=np.int64)
-        self.n_tokens = n + 1
+        self.n_tokens = (np.concatenate(ns) if ns else np.zeros(0, dtype=np.int64)) + 1
         ends = np.cumsum(self.n_tokens)
         self.begins = ends - self.n_tokens
         total = int(ends[-1]) if len(ends) else 0
-        word = np.empty(total, dtype=np.uint64)
-        is_end = np.zeros(total, dtype=bool)
-        is_end[ends - 1] = True
-        word[is_end] = END
-        word[~is_end] = one
-        context = np.empty(total, dtype=np.uint64)
-        context[1:] = word[:-1]
-        context[self.begins] = BEGIN
-        self.is_end = is_end
-        self.contexts, which = np.unique(context, return_inverse=True)
-        key = (which.astype(np.uint64) << U(32)) | (word >> U(32))
-        del word, context
-        self.keys, self.of_token = np.unique(key, return_inverse=True)
-        self.token_context = which
-        del key
+        self.is_end = np.zeros(total, dtype=bool)
+        self.is_end[ends - 1] = True
+        self.word = np.empty(total, dtype=np.uint64)
+        self.word[self.is_end] = END
+        self.word[~self.is_end] = one
+        self.one = np.empty(total, dtype=np.uint64)
+        self.one[1:] = one_word(self.word[:-1])
+        self.one[self.begins] = one_word(BEGIN)
+        before = np.empty(total, dtype=np.uint64)
+        before[1:] = self.one[:-1]
+        before[self.begins] = one_word(BEGIN)
+        self.before, self.two = before, two_words(before, self.one)
+
+
+@dataclass(frozen=True)
+class HotContexts:
+    """Sorted hashes of hot contexts, their counts, and how many parts the n-grams of each are spread over."""
+
+    contexts: np.ndarray
+    counts: np.ndarray
+    parts: np.ndarray
+
+    @staticmethod
+    def of(counts: dict[int, int], least: float) -> HotContexts:
+        known = sorted(counts.items())
+        n = np.array([c for _, c in known], dtype=np.int64)
+        return HotContexts(np.array([h for h, _ in known], dtype=np.uint64), n, np.ceil(n / least).astype(np.uint64))
+
+    def find(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where contexts stand here, and which of them do."""
+        if not len(self.contexts):
+            return np.zeros(len(contexts), dtype=np.int64), np.zeros(len(contexts), dtype=bool)
+        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        return at, self.contexts[at] == contexts
+
+
+class Chunk:
+    """The n-grams of some texts: distinct ones, by context and word, and each token's bigram and trigram."""
+
+    def __init__(self, texts: pa.ChunkedArray | pa.Array, train: np.ndarray, hot: HotContexts, shards: int) -> None:
+        t = Tokens(texts)
+        self.n_tokens, self.begins, self.is_end = t.n_tokens, t.begins, t.is_end
+        n = len(t.word)
+        self.contexts, which = np.unique(np.concatenate([t.one, t.two]), return_inverse=True)
+        low = t.word >> U(32)
+        del t
+        key = (which.astype(np.uint64) << U(32)) | np.concatenate([low, low])
+        self.keys, at = np.unique(key, return_inverse=True)
+        del key, low
+        # bigrams, then trigrams
+        self.of_token, self.context_of = (at[:n], at[n:]), (which[:n], which[n:])
         self.owner = (self.keys >> U(32)).astype(np.int64)
         self.words = (self.keys & U(0xFFFFFFFF)).astype(np.uint32)
         self.trained = np.repeat(train, self.n_tokens)
         own = self.contexts[self.owner]
-        shard = own % U(shards)
-        if len(hot):
-            k = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
-            spread = mix(own + self.words.astype(np.uint64) % U(SPREAD) + U(1)) % U(shards)
-            shard = np.where(hot[k] == own, spread, shard)
+        shard = mix(own) % U(shards)
+        k, is_hot = hot.find(own)
+        if is_hot.any():
+            shard[is_hot] = mix(own[is_hot] + mix(self.words[is_hot].astype(np.uint64)) % hot.parts[k[is_hot]] + U(1)) % U(shards)
         self.shard = shard.astype(np.int32)
         self.order = np.argsort(self.shard, kind="stable")
 
+    def counts(self) -> np.ndarray:
+        """How often each n-gram occurs in training texts."""
+        return sum(np.bincount(at[self.trained], minlength=len(self.keys)) for at in self.of_token)
+
     def per_shard(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(shard, its bigrams, where its contexts begin among them, its contexts)."""
+        """(shard, its n-grams, where its contexts begin among them, its contexts)."""
         if not len(self.order):
             return
         s = self.shard[self.order]
@@ -267,6 +331,35 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.select("text", "train").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
+def paired(docs: DataFrame, words: np.ndarray) -> DataFrame:
+    """(hash, n): how often each context of two of the given one-word contexts occurs in training texts; docs (text, train)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = HotContexts(words, words, words)
+        for b in batches:
+            train = np.asarray(b.column("train"))
+            t = Tokens(b.column("text").filter(pa.array(train)))
+            h, n = np.unique(t.two[known.find(t.before)[1] & known.find(t.one)[1]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["hash", "n"])
+
+    return docs.select("text", "train").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def hot_contexts(rows: DataFrame, words: DataFrame, n_train: int, n_ends: int, shards: int) -> HotContexts:
+    """The contexts with over 1 / HOT of a shard's share: at most HOT * shards of each order."""
+    least = max(LEAST_HOT, n_train / (HOT * shards))
+    unsigned = lambda h: int(np.int64(h).view(np.uint64))
+    hot = {int(one_word(U(unsigned(r["hash"])))): r["n"] for r in words.filter(F.col("n") > least).collect()}
+    hot.pop(int(one_word(END)), None)  # nothing follows an end
+    begin = one_word(np.array([BEGIN]))
+    if n_ends > least:
+        hot[int(begin[0])] = n_ends
+    if hot:
+        pairs = paired(rows, np.array(sorted(hot), dtype=np.uint64)).filter(F.col("n") > least)
+        hot |= {unsigned(r["hash"]): r["n"] for r in pairs.collect()}
+    return HotContexts.of(hot, least)
+
+
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, text)."""
     small_batches(spark)
@@ -276,18 +369,17 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = int(size // CHUNK_BYTES) + 1
     words = written(spark, counted(rows), "words")
-    totals = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    n_train, n_distinct = int(totals["n"] or 0), int(totals["v"])
-    # words with over an eighth of a shard's share: at most 8 * n_parts
-    hot_rows = words.filter(F.col("n") > max(1000, n_train / (8 * n_parts))).collect()
-    hot = sorted((int(np.int64(r["hash"]).view(np.uint64)), r["n"]) for r in hot_rows)
-    hot_words, hot_counts = np.array([h for h, _ in hot], dtype=np.uint64), np.array([c for _, c in hot], dtype=np.int64)
-    n_ends = int((words.filter(F.col("hash") == int(END.view(np.int64))).agg(F.sum("n")).first()[0]) or 0)
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_parts)).cast("int"))
+    totals = words.agg(F.count("*").alias("v"), F.sum("n").alias("n"), F.sum(F.when(F.col("hash") == int(END.view(np.int64)), F.col("n"))).alias("ends")).first()
+    n_train, n_distinct, n_ends = int(totals["n"] or 0), int(totals["v"]), int(totals["ends"] or 0)
+    hot = hot_contexts(rows, words, n_train, n_ends, n_parts)
+    discard(spark, words)
+    # rows are dealt by their place, so that repeated rows spread; the table fixes who is where
+    chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_parts)).cast("int")
+    dealt = bucketed(spark, rows.withColumn("chunk", chunk), "dealt", "chunk", n_parts)
 
     def send(key: tuple, t: pa.Table) -> pa.Table:
-        c = Chunk(t["text"], np.asarray(t["train"]), hot_words, n_parts)
-        n = np.bincount(c.of_token[c.trained], minlength=len(c.keys)) if len(c.keys) else np.zeros(0, dtype=np.int64)
+        c = Chunk(t["text"], np.asarray(t["train"]), hot, n_parts)
+        n = c.counts()
         out: list[list] = [[], []]
         for shard, part, first, own in c.per_shard():
             out[0].append(shard)
@@ -299,31 +391,39 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def serve(_: tuple, t: pa.Table) -> pa.Table:
         asked = [_unpack(x.as_py()) for x in t["asked"]]
         contexts, which = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        owner = np.repeat(which, np.concatenate([a[1] for a in asked]))
-        keys, at = np.unique((owner.astype(np.uint64) << U(32)) | np.concatenate([a[2] for a in asked]).astype(np.uint64), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([a[3] for a in asked]).astype(np.float64)).astype(np.int64)
-        del owner, at, which
-        keys, n = keys[n > 0], n[n > 0]
+        key = np.repeat(which.astype(np.uint64) << U(32), np.concatenate([a[1] for a in asked]))
+        key |= np.concatenate([a[2] for a in asked])
+        n = np.concatenate([a[3] for a in asked])
+        del which
+        # only what training texts hold is stored
+        key, n = key[n > 0], n[n > 0]
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+        keys, n = key[first], np.add.reduceat(n.astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
+        del key, first
         owner = (keys >> U(32)).astype(np.int64)
         counts = np.bincount(owner, weights=n.astype(np.float64), minlength=len(contexts)).astype(np.int64)
-        if len(hot_words):
-            k = np.minimum(np.searchsorted(hot_words, contexts), len(hot_words) - 1)
-            counts = np.where(hot_words[k] == contexts, hot_counts[k], counts)
-        share = n / (counts[owner] + MU)
+        at, is_hot = hot.find(contexts)
+        counts[is_hot] = hot.counts[at[is_hot]]
+        share = n / (counts + MU[order_of(contexts)])[owner]
         sizes = np.bincount(owner, minlength=len(contexts))
+        del owner, n
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie(os.path.join(folder, "levels")).build(contexts, counts, sizes, (keys & U(0xFFFFFFFF)).astype(np.uint32), code_of(share))
+            del keys, share, counts, contexts, sizes
             answers = []
             for a in asked:
                 c, codes = trie.ask(a[0], a[1], a[2])
                 answers.append(_pack(_narrow(c), codes))
             del trie
-        del asked, keys, owner, n, share, counts, contexts
+        del asked
         give_back()
         return pa.table({"chunk": t["chunk"], "shard": t["shard"], "told": pa.array(answers, pa.binary())})
 
     def sum_up(key: tuple, t: pa.Table, told: pa.Table) -> pa.Table:
-        c = Chunk(t["text"], np.asarray(t["train"]), hot_words, n_parts)
+        c = Chunk(t["text"], np.asarray(t["train"]), hot, n_parts)
         answers = dict(zip(told["shard"].to_pylist(), told["told"].to_pylist(), strict=True))
         codes = np.zeros(len(c.keys), dtype=np.uint8)
         counts = np.zeros(len(c.contexts), dtype=np.int64)
@@ -331,15 +431,15 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
             counts[own], codes[part] = _unpack(answers[shard])
         base = (np.append(counts, n_ends) + ADD) / (n_train + ADD * (n_distinct + 1))
         # a token is the context of the next one; an end has the last place
-        token = np.append(c.token_context[1:], 0)
+        token = np.append(c.context_of[0][1:], 0)
         token[c.is_end] = len(counts)
         known = np.append(counts, n_ends)[token] > 0
-        p1 = base[token]
-        before = counts[c.token_context]
-        p = SHARES[codes[c.of_token]] + MU / (before + MU) * p1
+        p1 = p = base[token]
+        for mu, at, of in zip(MU, c.of_token, c.context_of, strict=True):
+            p = SHARES[codes[at]] + mu / (counts[of] + mu) * p
         by = lambda x: np.add.reduceat(x, c.begins) if len(x) else np.zeros(0)
         m = len(c.n_tokens)
-        return pa.table(
+        out = pa.table(
             {
                 "doc_id": t["doc_id"],
                 "held_out": t["held_out"],
@@ -350,7 +450,10 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 "score": pa.array(by(np.log10(p))),
             }
         )
+        give_back()
+        return out
 
-    told = dealt.groupBy("chunk").applyInArrow(send, "shard int, chunk int, asked binary").groupBy("shard").applyInArrow(serve, "chunk int, shard int, told binary")
+    asked = dealt.groupBy("chunk").applyInArrow(send, "shard int, chunk int, asked binary")
+    told = bucketed(spark, asked.groupBy("shard").applyInArrow(serve, "chunk int, shard int, told binary"), "told", "chunk", n_parts)
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(sum_up, schema)

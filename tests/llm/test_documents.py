@@ -304,35 +304,58 @@ def test_licences_of_several_notices(spark):
     assert got[1000]["labels"] == ""
 
 
-def brute_scores(rows, mu=lm.MU):
+def brute_scores(rows):
     tokens = [(i, [*corpus.words(corpus.lower(t)), "\0end"]) for i, t, *_ in rows]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    c, pair, before = Counter(), Counter(), Counter()
+    grams = lambda w: list(zip(["\0begin", "\0begin", *w], ["\0begin", *w], w, strict=False))
+    c, seen, before = Counter(), Counter(), Counter()
     for i, w in tokens:
         if i is not None and not held(i):
             c.update(w)
-            pair.update(zip(["\0begin", *w], w, strict=False))
-            before.update(["\0begin", *w[:-1]])
+            for x, y, z in grams(w):
+                seen.update([(y, z), (x, y, z)])
+                before.update([(y,), (x, y)])
     n, v = sum(c.values()), len(c)
     out = defaultdict(list)
     for i, w in tokens:
-        p = [(c[x] + 0.1) / (n + 0.1 * (v + 1)) for x in w]
-        s = sum(math.log10(pair[a, x] / (before[a] + mu) + mu / (before[a] + mu) * q) for a, x, q in zip(["\0begin", *w], w, p, strict=False))
-        out[i].append((held(i), len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, p)), s))
+        base = [(c[x] + 0.1) / (n + 0.1 * (v + 1)) for x in w]
+        s = 0.0
+        for (x, y, z), p in zip(grams(w), base, strict=True):
+            for mu, own in ((200, (y,)), (20, (x, y))):
+                p = (seen[*own, z] + mu * p) / (before[own] + mu)
+            s += math.log10(p)
+        out[i].append((held(i), len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, base)), s))
     return out
 
 
-def test_language_model(spark, docs):
-    got = collected(lm.score(spark, docs))
-    want = brute_scores(corpus.rows())
+def same_scores(got, want):
     assert set(got) == set(want)
     for k, rows in want.items():
         mine = sorted((r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got[k])
         for a, b in zip(mine, sorted(rows), strict=True):
             assert a[:4] == b[:4] and a[4] == pytest.approx(b[4], abs=1e-6) and abs(a[5] - b[5]) < 0.02 * a[1] + 0.02
+
+
+def test_language_model(spark, docs):
+    same_scores(collected(lm.score(spark, docs)), brute_scores(corpus.rows()))
     assert lm.score(spark, corpus.empty(spark)).count() == 0
 
 
+def test_language_model_in_many_shards(spark, monkeypatch):
+    """Many chunks and shards, with hot words, beginnings and pairs that are spread."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 8000)
+    monkeypatch.setattr(lm, "LEAST_HOT", 5)
+    rng = random.Random(41)
+    rows = [*corpus.rows(), *((2000 + k, "of the " * rng.randint(1, 40) + corpus.prose(rng, 20) + " of the " + corpus.prose(rng, 3)) for k in range(60)), *[(3000, "of the x")] * 30]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = []
+    first = lm.hot_contexts
+    monkeypatch.setattr(lm, "hot_contexts", lambda *a: found.append((a[-1], first(*a))) or found[-1][1])
+    same_scores(collected(lm.score(spark, df)), brute_scores(rows))
+    shards, hot = found[0]
+    assert shards > 5 and {0, 1} == set(lm.order_of(hot.contexts).tolist()) and hot.parts.max() > 3
+
+
 def test_elias_fano():
     rng = np.random.default_rng(5)
     for top in (1, 50, 1 << 20, (1 << 64) - 1):
