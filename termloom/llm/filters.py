@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termloom.llm.tokens import U, mix
 
 #: bounds of a filter's size in bits; between them it has 16 bits a hash
 LEAST_BITS, MOST_BITS, PAGE = 1 << 20, 1 << 29, 1 << 16
+#: groups of tasks whose pages are merged first
+FAN = 256
+
+
+def merged_pages(pages: DataFrame, column: str, merge: Callable[[pd.Series], bytes]) -> DataFrame:
+    """pages (page, column binary) with one row a page: those of a few tasks are merged first, then what these gave."""
+
+    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"page": [key[0]], column: [merge(frame[column])]})
+
+    schema = f"page long, {column} binary"
+    some = pages.withColumn("tasks", F.spark_partition_id() % FAN).groupBy("page", "tasks").applyInPandas(one, schema)
+    return some.groupBy("page").applyInPandas(one, schema)
 
 
 def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,13 +54,13 @@ def bloom(spark: SparkSession, rows: DataFrame, least: int = LEAST_BITS) -> tupl
         if kept:
             yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int64()), pa.array([v.tobytes() for v in kept.values()], pa.binary())], ["page", "flags"])
 
-    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def merge(values: pd.Series) -> bytes:
         out = np.zeros(PAGE // 8, dtype=np.uint8)
-        for x in frame["flags"]:
+        for x in values:
             out |= np.frombuffer(x, dtype=np.uint8)
-        return pd.DataFrame({"page": [key[0]], "flags": [out.tobytes()]})
+        return out.tobytes()
 
-    pages = rows.select("hash").mapInArrow(run, "page long, flags binary").groupBy("page").applyInPandas(merge, "page long, flags binary")
+    pages = merged_pages(rows.select("hash").mapInArrow(run, "page long, flags binary"), "flags", merge)
     flags = np.zeros(bits // 8, dtype=np.uint8)
     for r in pages.collect():
         flags[r["page"] * (PAGE // 8) : (r["page"] + 1) * (PAGE // 8)] = np.frombuffer(r["flags"], dtype=np.uint8)

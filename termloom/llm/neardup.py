@@ -14,7 +14,7 @@ share of n, so idf has the same floor at every size and the sketch does not grow
    their weight.  So members that share a band and such a shingle are compared: first with the smallest member that
    has the shingle, then all that are still in different classes, unless the weight of what comes before the shingle in either is
    too much for t: what comes from there on is all that they can share.  This is exact, so no link that shares a band is missed, while
-   loosely similar texts, which share a band but differ in their rare shingles, never meet.
+   loosely similar texts, which share a band but differ in their rare shingles, never meet (`still_apart`).
 
 Defined results: texts without words (null, empty) are classes of their own, as are rows without doc_id (class_id null); rows that repeat
 a doc_id share its fate; an empty table gives no rows; other columns are ignored.
@@ -22,6 +22,7 @@ a doc_id share its fate; an empty table gives no rows; other columns are ignored
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm.filters import merged_pages
 from termloom.llm.graph import components
-from termloom.llm.shared import small_batches, unused, written
+from termloom.llm.shared import discard, small_batches, unused, written
 from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, text_buffer, words_of
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 12, 4, 0.8
@@ -82,16 +84,16 @@ def idf_table(docs: DataFrame) -> np.ndarray:
             pages = [pack(p.tobytes()) for p in cells.astype(np.int64).reshape(-1, PAGE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(pages)), pa.int64()), pa.array([pack(np.array([n]).tobytes()), *pages], pa.binary())], ["page", "counts"])
 
-    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def add(values: pd.Series) -> bytes:
         total: np.ndarray | int = 0
-        for x in frame["counts"]:
+        for x in values:
             total = total + np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.int64)
-        return pd.DataFrame({"page": [key[0]], "counts": [np.asarray(total).tobytes()]})
+        return zstandard.ZstdCompressor(level=1).compress(np.asarray(total).tobytes())
 
-    sums = docs.select("text").mapInArrow(count, "page long, counts binary").groupBy("page").applyInPandas(add, "page long, counts binary")
+    sums = merged_pages(docs.select("text").mapInArrow(count, "page long, counts binary"), "counts", add)
     df, n = np.zeros(DEPTH * COLUMNS, dtype=np.int64), 0
     for r in sums.collect():
-        x = np.frombuffer(r["counts"], dtype=np.int64)
+        x = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["counts"]), dtype=np.int64)
         if r["page"] < 0:
             n = int(x[0])
         else:
@@ -239,13 +241,33 @@ def similarities(pairs: DataFrame, idf) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, similarity double")
 
 
+def still_apart(entries: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) that share a shingle of entries (shingle, node, before, total, component, bands), are of different components and may be similar.
+
+    Two texts share at most what stands from a shingle of their prefixes on, in either.  So the lighter one must hold the
+    shingle so early that its rest could do for a text of its own weight at least, and the other's weight is bounded by that
+    rest: this is the light side of an equi-join on shingle and a step of weight.  Copies of one block with
+    differing surroundings have it too late in their order, and give no rows however many they are.
+    """
+    # the weight that a partner may have at most: rest >= similar / (1 + similar) * (own weight + partner's)
+    most = (F.col("total") - F.col("before")) * ((1 + similar) / similar) * (1 + 1e-6) - F.col("total")
+    mask = F.aggregate("bands", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))))
+    step = lambda c: F.floor(F.log(c) / math.log(1 / similar))
+    rows = entries.select("shingle", "node", "component", F.col("total").alias("w"), most.alias("most"), mask.alias("mask"))
+    side = lambda df, x: df.select("shingle", "step", F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("component", "w", "most", "mask")))
+    light = rows.filter(F.col("most") >= F.col("w") * (1 - 1e-6)).withColumn("step", F.explode(F.sequence(step(F.col("w") * (1 - 1e-6)), step(F.greatest("w", "most")))))
+    met = side(light, "a").join(side(rows.withColumn("step", step(F.col("w"))), "b"), ["shingle", "step"])
+    fits = F.expr("component_a <> component_b and w_b >= w_a * (1 - 1e-6) and w_b <= most_a and w_a <= most_b and (mask_a & mask_b) <> 0")
+    return met.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id) of docs (doc_id, text): class_id is the smallest doc_id of the class."""
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(idf_table(docs).tobytes())
     signed = written(spark, signatures(docs, idf), "signatures")
-    # texts: one row for each distinct text with words, named by its smallest document
+    # one row for each distinct text with words, named by its smallest document
     texts = signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("bands", ignorenulls=True).alias("bands")).filter(F.size("bands") > 0)
     texts = written(spark, texts, "texts")
     buckets = texts.select("node", F.explode("bands").alias("bucket"))
@@ -278,20 +300,18 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
         return apart.select("a", "b").join(done, ["a", "b"], "left_anti")
 
     heads = rare.groupBy("shingle").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = rare.join(heads, "shingle")
-    second = compare(open_pairs(shared.select("a", F.col("node").alias("b")).distinct(), open_nodes))
+    meeting = rare.join(heads, "shingle")
+    second = compare(open_pairs(meeting.select("a", F.col("node").alias("b")).distinct(), open_nodes))
     done = done.unionByName(second.select("a", "b"))
     links = links.unionByName(second.filter(F.col("similarity") >= similar).select("a", "b"))
     again = components(spark, links)
     now = open_nodes.join(again.withColumnRenamed("component", "_c"), "node", "left").select("node", F.coalesce("_c", "component").alias("component"), "bands")
-    entries = shared.select("shingle", "node", "before", "total").join(now.select("node", "component"), "node")
+    entries = meeting.select("shingle", "node", "before", "total").join(now, "node")
     several = entries.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
-    entries = entries.join(several, "shingle", "left_semi")
-    side = lambda x: entries.select("shingle", F.col("node").alias(x), F.col("component").alias(f"c{x}"), (F.col("total") - F.col("before")).alias(f"left_{x}"), F.col("total").alias(f"w{x}"))
-    enough = F.least("left_a", "left_b") >= (similar / (1 + similar) - 1e-6) * (F.col("wa") + F.col("wb"))
-    met = side("a").join(side("b"), "shingle").filter(F.expr("a < b and ca <> cb") & enough).select("a", "b").distinct()
+    met = still_apart(entries.join(several, "shingle", "left_semi"), similar)
     rest = compare(open_pairs(met, now)).filter(F.col("similarity") >= similar)
-    found = components(spark, links.unionByName(rest.select("a", "b")))
+    found = written(spark, components(spark, links.unionByName(rest.select("a", "b"))), "components")
+    discard(spark, members, wanted, open_nodes, rare, stars, second)
     by_text = texts.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     with_words = signed.select("doc_id", "h1", "h2").join(by_text, ["h1", "h2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     return with_words.unionByName(docs.filter("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id")))
