@@ -1,13 +1,16 @@
 """Nearest neighbours by shifted space-filling curves.
 
 Vectors are projected by several random rotations, shifted, and ordered along a Hilbert curve each time.  Every ordering is
-range-partitioned into BLOCKS key ranges of about equal size (from quantiles of the keys).  A query is sent to the range
+range-partitioned into key ranges of about equal size (from quantiles of the keys).  A query is sent to the range
 of its own key and the ranges next to it, in each ordering; ranges are searched by blocks of matrix products, and the short lists
 of all ranges and orderings are merged and ranked by the exact inner product in double precision.
 
+How wide a range must be depends on the vectors: clustered ones lie close together on some curve, vectors without structure don't.
+So the width is measured, at every size in the same way: SAMPLE queries are searched exactly, and a range gets as wide as is needed for
+TARGET of their neighbours to stand no farther than that from the query on some curve.
+
 Equal vectors are one node, with its k + 1 smallest ids (no more of them can be among k nearest), so a vector that many rows
-share is searched once.  A range of more than CHUNK vectors is split, with its queries sent to each part.
-Ranges grow with the table, so recall stays the same at every size; vectors without structure need wide ranges (README).
+share is searched once.  A range's vectors and queries are both split, so that a task holds at most CHUNK of one and ASKED of the other.
 
 Inner products of vectors of different length: vectors get a coordinate more, sqrt(M**2 - |v|**2), M being the
 largest length, which makes the nearest direction the largest product.
@@ -31,10 +34,10 @@ from pyspark.sql import functions as F
 from termloom.llm.shared import written
 from termloom.llm.tokens import U
 
-#: orderings, dimensions and bits of a key, ranges of an ordering, ranges probed on either side, vectors searched at once
-ORDERINGS, DIMS, BITS, BLOCKS, BESIDE, CHUNK = 14, 12, 4, 20, 1, 40_000
-#: below so many vectors, a query's ranges hold them all
-SMALL = 3000
+#: orderings, dimensions and bits of a key, vectors and queries that a task searches at once, candidates kept beyond those wanted
+ORDERINGS, DIMS, BITS, CHUNK, ASKED, SPARE = 32, 12, 4, 40_000, 20_000, 12
+#: queries that are searched exactly to measure how wide ranges must be, share of their neighbours that must be met, quantiles of the keys, ranges at most
+SAMPLE, TARGET, QUANTILES, MOST_BLOCKS = 100, 0.96, 2000, 500
 
 
 def hilbert(x: np.ndarray, bits: int) -> np.ndarray:
@@ -97,7 +100,7 @@ class Curves:
 
 
 def _matrix(column: pd.Series, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.float64).reshape(-1, size)
+    return np.frombuffer(b"".join(column), dtype=np.float32).reshape(-1, size)
 
 
 def _lists(column: pa.Array) -> np.ndarray:
@@ -145,20 +148,66 @@ def fit(nodes: DataFrame, size: int) -> Curves:
 
 
 def keyed(nodes: DataFrame, curves: Curves, query: bool) -> DataFrame:
-    """(ordering, key, node, v): a row for each node and ordering."""
+    """(ordering, key, node, v): a row for each node and ordering; v in single precision."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             x = _lists(b.column("embedding"))
-            v = pa.array([r.tobytes() for r in x], pa.binary())
+            v = pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())
             for k, key in enumerate(curves.keys(x, query)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, dtype=np.int32)), pa.array(key), b.column("node"), v], ["ordering", "key", "node", "v"])
 
     return nodes.select("node", "embedding").mapInArrow(run, "ordering int, key long, node long, v binary")
 
 
+def best_of(ids: np.ndarray, score: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n ids with the highest scores, each once, ties to smaller ids, and their scores."""
+    ids, first = np.unique(ids, return_index=True)
+    best = np.argsort(-score[first], kind="stable")[:n]
+    return ids[best], score[first][best]
+
+
+def exact(nodes: DataFrame, asked: np.ndarray, which: np.ndarray, k: int) -> dict[int, np.ndarray]:
+    """The k nearest nodes of each of a few queries (vectors, and the nodes that they are): all are searched, k a partition leave it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(asked)
+        for b in batches:
+            ids, score = b.column("node").to_numpy(), asked @ _lists(b.column("embedding")).T if b.num_rows else np.zeros((len(asked), 0))
+            for q, (own_ids, own_score) in enumerate(lists):
+                other = ids != which[q]
+                lists[q] = best_of(np.concatenate([own_ids, ids[other]]), np.concatenate([own_score, score[q][other]]), k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(which, [len(i) for i, _ in lists])), pa.array(np.concatenate([i for i, _ in lists])), pa.array(np.concatenate([x for _, x in lists]))], ["query", "node", "score"])
+
+    ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
+    found = nodes.select("node", "embedding").mapInArrow(run, "query long, node long, score double").withColumn("n", ranked).filter(F.col("n") <= k).toPandas()
+    return {q: rows["node"].to_numpy() for q, rows in found.groupby("query")}
+
+
+def width(nodes: DataFrame, asked: DataFrame, curves: Curves, cuts: dict[int, np.ndarray], k: int) -> float:
+    """How far apart, as a share of the keys, a query and its neighbours may stand on the curve that brings them closest, for TARGET of them.
+
+    SAMPLE queries, their k neighbours and the keys of both reach the driver, whatever the tables' size.
+    """
+    sample = asked.orderBy(F.xxhash64("node")).limit(SAMPLE).toPandas()
+    if not len(sample):
+        return 1.0
+    vectors = np.array(sample["embedding"].tolist(), dtype=np.float64)
+    near = exact(nodes, vectors, sample["node"].to_numpy(), k)
+    if not near:
+        return 1.0
+    wanted = nodes.sparkSession.createDataFrame(pd.DataFrame({"node": np.unique(np.concatenate(list(near.values())))}))
+    there = keyed(nodes.join(wanted, "node", "left_semi"), curves, False).select("ordering", "node", "key").toPandas()
+    places: dict[int, np.ndarray] = {}
+    for node, rows in there.sort_values("ordering").groupby("node"):
+        places[node] = np.array([np.searchsorted(cuts[o], key) for o, key in zip(rows["ordering"], rows["key"], strict=True)])
+    own = np.stack([np.searchsorted(cuts[o], key) for o, key in enumerate(curves.keys(vectors, True))], axis=1)
+    apart = [np.abs(places[v] - own[i]).min() for i, q in enumerate(sample["node"]) for v in near.get(q, [])]
+    return float((np.quantile(apart, TARGET) + 1) / QUANTILES)
+
+
 def search(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row for which is_query holds, among all other rows (vec_id, embedding)."""
     good = usable(rows)
@@ -168,24 +217,31 @@ def search(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20)
     nodes = written(spark, nodes_of(good, k + 1), "nodes")
     queries = good.filter(is_query).select(F.col("vec_id").alias("query_id"), F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(3), "embedding").alias("h2")).distinct().join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("query_id", "node")
     queries = written(spark, queries, "queries")
-    curves, n = fit(nodes, size), nodes.count()
-    asked = nodes.join(queries.select("node").distinct(), "node", "left_semi")
+    curves = fit(nodes, size)
+    asked = nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "embedding")
     data = written(spark, keyed(nodes, curves, False), "keyed")
-    # ORDERINGS rows of BLOCKS - 1 cuts
-    cuts = {r["ordering"]: r["c"] for r in data.groupBy("ordering").agg(F.percentile_approx("key", [i / BLOCKS for i in range(1, BLOCKS)], 10_000).alias("c")).collect()}
-    cut_map = F.create_map(*[F.lit(x) for o, c in cuts.items() for x in (o, F.array(*[F.lit(int(y)) for y in c]))]) if cuts else F.create_map(F.lit(0), F.array(F.lit(0)))
-    block = F.size(F.filter(F.element_at(cut_map, F.col("ordering")), lambda c: c < F.col("key")))
-    data = data.withColumn("block", block)
-    # ORDERINGS * BLOCKS rows at most
-    parts = {(r["ordering"], r["block"]): -(-r["count"] // CHUNK) for r in data.groupBy("ordering", "block").count().collect()}
-    part_map = F.create_map(*[F.lit(x) for (o, b), c in parts.items() for x in (o * BLOCKS + b, int(c))]) if parts else F.create_map(F.lit(0), F.lit(1))
-    n_parts = lambda b: F.coalesce(F.element_at(part_map, F.col("ordering") * BLOCKS + b), F.lit(0))
-    data = data.withColumn("part", F.pmod(F.xxhash64("node"), n_parts(F.col("block"))).cast("int")).drop("key")
-    beside = BESIDE if n > SMALL else BLOCKS
-    low = F.greatest(F.lit(0), F.least(F.col("block") - beside, F.lit(BLOCKS - 1 - 2 * beside)))
-    probes = F.sequence(low, F.least(F.lit(BLOCKS - 1), low + 2 * beside))
-    asked = keyed(asked, curves, True).withColumn("block", block).drop("key").withColumn("block", F.explode(probes))
-    asked = asked.withColumn("n_parts", n_parts(F.col("block"))).filter("n_parts > 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).drop("n_parts")
+    # ORDERINGS rows of QUANTILES - 1 cuts
+    found = data.groupBy("ordering").agg(F.percentile_approx("key", [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES).alias("c")).collect()
+    cuts = {r["ordering"]: np.array(r["c"], dtype=np.int64) for r in found}
+    if not cuts:
+        return rows.select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    blocks = int(np.clip(1 / width(nodes, asked, curves, cuts, k), 3, MOST_BLOCKS))
+    edges = {o: c[[round(QUANTILES * i / blocks) - 1 for i in range(1, blocks)]] for o, c in cuts.items()}
+    edge_map = F.create_map(*[F.lit(x) for o, c in edges.items() for x in (o, F.array(*[F.lit(int(y)) for y in c]))])
+    block = F.size(F.filter(F.element_at(edge_map, F.col("ordering")), lambda c: c < F.col("key")))
+    low = F.greatest(F.lit(0), F.least(F.col("block") - 1, F.lit(blocks - 3)))
+    data = data.withColumn("block", block).drop("key")
+    asked = keyed(asked, curves, True).withColumn("block", block).drop("key").withColumn("block", F.explode(F.sequence(low, low + 2)))
+    # ORDERINGS * blocks rows at most, of how many parts each range has on either side
+    count = lambda df, most: df.groupBy("ordering", "block").agg(F.ceil(F.count("*") / most).cast("int").alias("n"))
+    sizes = count(data, CHUNK).withColumnRenamed("n", "parts").join(count(asked, ASKED).withColumnRenamed("n", "shares"), ["ordering", "block"])
+    sizes = {(r["ordering"], r["block"]): (r["parts"], r["shares"]) for r in sizes.collect()}
+    grid = F.create_map(*[F.lit(x) for (o, b), (p, s) in sizes.items() for x in (o * blocks + b, F.struct(F.lit(p).alias("parts"), F.lit(s).alias("shares")))]) if sizes else None
+    split = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    place = lambda df: df.withColumn("g", F.element_at(grid, F.col("ordering") * blocks + F.col("block"))).filter("g is not null")
+    data = place(data).withColumn("part", split(F.col("g.parts"))).withColumn("share", every(F.col("g.shares"))).drop("g")
+    asked = place(asked).withColumn("share", split(F.col("g.shares"))).withColumn("part", every(F.col("g.parts"))).drop("g")
     keep = k + 1
 
     def near(_: tuple, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
@@ -193,40 +249,33 @@ def search(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20)
         if len(q) and len(v):
             a, b, ids = _matrix(q["v"], size), _matrix(v["v"], size), v["node"].to_numpy()
             order = np.argsort(ids, kind="stable")
-            b, ids = b[order], ids[order]
-            rough = b.astype(np.float32).T
+            b, ids = b[order].T, ids[order]
             for s in range(0, len(a), 256):
-                score = a[s : s + 256].astype(np.float32) @ rough
-                m = min(keep + 11, score.shape[1])
+                score = a[s : s + 256] @ b
+                m = min(keep + SPARE, score.shape[1])
                 top = np.sort(np.argpartition(-score, m - 1, axis=1)[:, :m], axis=1)
-                exact = np.einsum("qd,qmd->qm", a[s : s + 256], b[top])
-                best = np.argsort(-exact, axis=1, kind="stable")[:, :keep]
-                found, scores = ids[np.take_along_axis(top, best, 1)], np.take_along_axis(exact, best, 1)
                 out["node"] += q["node"].iloc[s : s + 256].tolist()
-                out["found"] += [x.astype(np.int64).tobytes() for x in found]
-                out["scores"] += [x.astype(np.float64).tobytes() for x in scores]
+                out["found"] += [x.astype(np.int64).tobytes() for x in ids[top]]
+                out["scores"] += [x.tobytes() for x in np.take_along_axis(score, top, 1)]
         return pd.DataFrame(out)
 
-    at = ["ordering", "block", "part"]
+    at = ["ordering", "block", "part", "share"]
     lists = asked.groupBy(*at).cogroup(data.groupBy(*at)).applyInPandas(near, "node long, found binary, scores binary")
-    # at most ORDERINGS * (2 * BESIDE + 1) short lists a part and query
+    # ORDERINGS * 3 short lists a part and query
     gathered = lists.groupBy("node").agg(F.collect_list(F.struct("found", "scores")).alias("lists"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[list] = [[], [], []]
-            for node, own in zip(b.column("node").to_pylist(), b.column("lists").to_pylist(), strict=True):
-                ids = np.frombuffer(b"".join(x["found"] for x in own), dtype=np.int64)
-                score = np.frombuffer(b"".join(x["scores"] for x in own), dtype=np.float64)
-                ids, first = np.unique(ids, return_index=True)
-                best = np.argsort(-score[first], kind="stable")[:keep]
-                rows[0] += [node] * len(best)
-                rows[1] += ids[best].tolist()
-                rows[2] += score[first][best].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["query", "found", "score"])
-
-    merged = gathered.mapInArrow(merge, "query long, found long, score double")
-    by_id = merged.join(nodes.select(F.col("node").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
+            found = [np.zeros(0, dtype=np.int64)]
+            for own in b.column("lists").to_pylist():
+                found.append(best_of(np.frombuffer(b"".join(x["found"] for x in own), dtype=np.int64), np.frombuffer(b"".join(x["scores"] for x in own), dtype=np.float32), keep + SPARE)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("node").to_numpy(), [len(x) for x in found[1:]])), pa.array(np.concatenate(found))], ["query", "found"])
+
+    merged = gathered.mapInArrow(merge, "query long, found long")
+    # the exact products of those that are left
+    candidate = nodes.select(F.col("node").alias("found"), "ids", F.col("embedding").alias("v"))
+    product = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x).alias("score")
+    by_id = merged.join(nodes.select(F.col("node").alias("query"), F.col("embedding").alias("q")), "query").join(candidate, "found").select("query", product, F.explode("ids").alias("vec_id"))
     first = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     short = by_id.withColumn("n", first).filter(F.col("n") <= keep).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
     own = queries.withColumnRenamed("node", "query").join(short, "query")
