@@ -105,9 +105,20 @@ def _op4_sql() -> str:
     ranked = sorted(urls.RULES, key=lambda r: (-len(r[0]) - len(r[1]), r[2] != "allow"))
     rule = "case " + " ".join(f"when {fits(h, p)} then '{h}{p}'" for h, p, _ in ranked) + " end"
     verdict = "case " + " ".join(f"when {fits(h, p)} then '{v}'" for h, p, v in ranked) + " end"
-    return f"""with recursive tags as (select url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) as tag from pages where url is not null),
-links as (select url, regexp_extract(tag, '(?i)([a-z][a-z0-9+.\\-]*://[^\\s"''<>]+)', 1) as target from tags where regexp_matches(tag, '(?i)rel\\s*=\\s*["'']?canonical|property\\s*=\\s*["'']?og:url|http-equiv\\s*=\\s*["'']?refresh')),
-edges as (select distinct url as a, {norm("url")} as b from pages where contains(url, '://') union select url, target from links where target <> '' union select target, {norm("target")} from links where target <> ''),
+    q = lambda x: x.replace("'", "''")
+    value = " || ".join(f"regexp_extract(tag, '{q(urls.VALUE)}', {k})" for k in (1, 2, 3))
+    rest, scheme = after("url"), "substr(url, 1, instr(url, '://') - 1)"
+    site = f"{scheme} || '://' || regexp_extract({rest}, '^[^/?#]*')"
+    tail, own = "regexp_extract(named, '[?#].*$')", "regexp_extract(named, '^[^?#]*')"
+    dots = lambda p: f"list_reduce(list_prepend('', string_split(regexp_replace({p}, '^/', ''), '/')), lambda acc, x: case when x = '..' then regexp_replace(acc, '/[^/]*$', '') when x = '.' then acc else acc || '/' || x end)"
+    resolved = f"""case when regexp_matches(named, '(?i)^[a-z][a-z0-9+.\\-]*://') then named when named = '' or starts_with(named, '#') or regexp_matches(named, '(?i)^[a-z][a-z0-9+.\\-]*:') then null
+when starts_with(named, '//') then {scheme} || ':' || named when starts_with(named, '?') then {site} || {path("url")} || named when starts_with(named, '/') then {site} || {dots(own)} || {tail}
+else {site} || {dots(f"regexp_replace({path('url')}, '[^/]*$', '') || {own}")} || {tail} end"""
+    return f"""with recursive tags as (select url, unnest(regexp_extract_all(html, '{q(urls.TAG)}')) as tag from pages where contains(url, '://')),
+values_ as (select url, tag, {value} as v from tags where regexp_matches(tag, '{q(urls.KIND)}')),
+named as (select url, case when regexp_matches(tag, '(?i)http-equiv') then case when regexp_matches(v, '{q(urls.DELAY)}') then regexp_extract(regexp_replace(v, '{q(urls.DELAY)}', ''), '^[^"''\\s]*') end else regexp_extract(v, '^\\S*') end as named from values_),
+links as (select distinct url, {resolved} as target from named),
+edges as (select distinct url as a, {norm("url")} as b from pages where contains(url, '://') union select url, target from links where target is not null union select target, {norm("target")} from links where target is not null),
 both_ways as (select a, b from edges union select b, a from edges),
 reach as (select distinct a, a as b from edges union select r.a, e.b from reach r join both_ways e on e.a = r.b),
 said as (select distinct a as u, {verdict} as v from (select a, {host("a")} as host, {path("a")} as path from edges)),
