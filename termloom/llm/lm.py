@@ -3,19 +3,21 @@
 Tokens are words between white space, A-Z lower-cased, and an end after each text; each text begins in a context of its own.
 With c counting training texts, M = 200 and L = 20,
 p(w | u v) = c(u v w) / (c(u v) + L) + L / (c(u v) + L) * p(w | v),
-p(w | v) = c(v w) / (c(v) + M) + M / (c(v) + M) * p(w) and p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
+p(w | v) = c(v w) / (c(v) + M) + M / (c(v) + M) * p(w) and p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)); u v of a text's second token
+are its beginning and first token, and its first token has p(w | v) alone.
 
 The model grows with the corpus, so no process holds all of it:
 
 1. Word counts give N, V and the *hot* words, which would fill an eighth of a shard by themselves; a second count of pairs of
    hot words gives the hot pairs.  These lists hold at most eight contexts a shard and order.
-2. Texts are dealt into chunks, a table in buckets that is read twice without a shuffle.  A chunk sends each shard its distinct n-grams, once, with
-   their counts in training texts: one message for each chunk and shard, as a shuffle has one block.  The shard of an n-gram is that of its
-   context; a hot context's n-grams are spread by their last word over as many shards as its count asks for.
-3. A shard merges what the chunks sent into its part of the trie, in levels that are written to a file and mapped into memory: contexts of one and two
-   words (Elias-Fano over sorted hashes), their counts (over running totals), pointers to their successors, the
-   successors' 32-bit hashes relative to their context (over context index and hash together), and
-   an 8-bit code of each smoothed share.  It answers each chunk's n-grams, in the order they came, with one byte each.
+2. Texts are dealt into chunks, a table in buckets that is read twice without a shuffle.  A chunk sends each shard its distinct bigrams and, under them,
+   its distinct trigrams, once, with their counts in training texts: one message for each chunk and shard, as a shuffle has one block.  The shard
+   is that of the first word; a hot word's bigrams, and a hot pair's trigrams, are spread by their last word over as many shards as the
+   count asks for.
+3. A shard merges what the chunks sent into its part of the trie, in levels that are written to a file and mapped into memory: words
+   (Elias-Fano over sorted hashes) with their counts (over running totals), and for bigrams and trigrams pointers to each node's successors, the
+   successors' 32-bit hashes relative to their node (over node index and hash together), and an 8-bit code of each smoothed share.
+   A chunk's n-grams are searched level by level among the successors of the node found before, and answered in the order they came, with a byte each.
    The file is the task's own: a lost task builds it again.
 4. The chunk finds its tokens' codes by that order and sums log10 p over each text.
 
@@ -136,44 +138,52 @@ SHARES = np.concatenate([[0.0], 10.0 ** (LOWEST + np.arange(CODES) * -LOWEST / (
 
 
 class Trie:
-    """A shard's contexts, their counts and successors, in levels mapped from one file."""
+    """A shard's words, bigrams and trigrams, in levels mapped from one file."""
 
     def __init__(self, path: str) -> None:
         self.path = path
-        self.levels: dict[str, dict[str, np.ndarray]] = {}
-
-    def build(self, contexts: np.ndarray, counts: np.ndarray, sizes: np.ndarray, words: np.ndarray, codes: np.ndarray) -> Trie:
-        """contexts sorted, with counts and numbers of successors; words sorted within contexts, with codes."""
-        owner = np.repeat(np.arange(len(contexts), dtype=np.uint64), sizes)
-        parts = {
-            "contexts": EliasFano.arrays(contexts),
-            "counts": EliasFano.arrays(np.concatenate([[0], np.cumsum(counts)])),
-            "pointers": EliasFano.arrays(np.concatenate([[0], np.cumsum(sizes)])),
-            "successors": EliasFano.arrays((owner << U(32)) | words.astype(np.uint64)),
-            "codes": {"codes": codes},
-        }
+        self.parts: dict[str, dict[str, np.ndarray]] = {}
+
+    def build(self, words: np.ndarray, counts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Trie:
+        """words sorted, with counts.  Each level: the node above and the 32-bit hash of each of its nodes in order, together as a key; their codes; their counts as contexts."""
+        parts = {"words": EliasFano.arrays(words), "counts": EliasFano.arrays(np.concatenate([[0], np.cumsum(counts)]))}
+        above = len(words)
+        for k, (keys, codes, own) in enumerate(levels):
+            sizes = np.bincount((keys >> U(32)).astype(np.int64), minlength=above)
+            parts |= {f"pointers{k}": EliasFano.arrays(np.concatenate([[0], np.cumsum(sizes)])), f"successors{k}": EliasFano.arrays(keys), f"codes{k}": {"x": codes}, f"counts{k}": EliasFano.arrays(np.concatenate([[0], np.cumsum(own)]))}
+            above = len(keys)
         with open(self.path, "wb") as f:
             table = []
-            for level, arrays in parts.items():
+            for part, arrays in parts.items():
                 for name, x in arrays.items():
                     f.write(b"\0" * (-f.tell() % 8))
-                    table.append((level, name, f.tell(), x.dtype, len(x)))
+                    table.append((part, name, f.tell(), x.dtype, len(x)))
                     f.write(x.tobytes())
-        for level, name, at, kind, n in table:
-            self.levels.setdefault(level, {})[name] = np.memmap(self.path, dtype=kind, mode="r", offset=at, shape=(n,)) if n else np.zeros(0, dtype=kind)
-        self.contexts, self.successors = EliasFano.of(self.levels["contexts"]), EliasFano.of(self.levels["successors"])
-        self.codes = self.levels["codes"]["codes"]
-        self.context_counts = np.diff(EliasFano.of(self.levels["counts"]).all())
+        for part, name, at, kind, n in table:
+            self.parts.setdefault(part, {})[name] = np.memmap(self.path, dtype=kind, mode="r", offset=at, shape=(n,)) if n else np.zeros(0, dtype=kind)
+        of = lambda name: EliasFano.of(self.parts[name])
+        self.words, self.counts = of("words"), np.diff(of("counts").all())
+        self.levels = [(of(f"successors{k}"), self.parts[f"codes{k}"]["x"], np.diff(of(f"counts{k}").all())) for k in range(len(levels))]
         return self
 
-    def ask(self, contexts: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of the contexts (0: not there), and the codes of their successors asked for (0: not there)."""
-        at, there = self.contexts.successor(contexts)
-        counts = np.where(there, self.context_counts[np.minimum(at, len(self.context_counts) - 1)], 0) if len(self.context_counts) else np.zeros(len(contexts), dtype=np.int64)
-        owner, known = np.repeat(at, sizes), np.repeat(there, sizes)
-        place, equal = self.successors.successor((np.where(known, owner, 0).astype(np.uint64) << U(32)) | words.astype(np.uint64))
-        codes = self.codes[np.minimum(place, len(self.codes) - 1)] if len(self.codes) else np.zeros(len(words), dtype=np.uint8)
-        return counts, np.where(known & equal, codes, 0).astype(np.uint8)
+    @staticmethod
+    def _at(x: np.ndarray, place: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """x at each place, 0 where nothing is there."""
+        return np.where(there, x[np.minimum(place, len(x) - 1)], 0).astype(x.dtype) if len(x) else np.zeros(len(place), dtype=x.dtype)
+
+    def ask(self, words: np.ndarray, below: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Counts of words (0: not there) and, for each level, the codes and counts of the nodes asked for.
+
+        below: for each level how many nodes are asked for under each of the level above, and their 32-bit hashes.
+        """
+        place, there = self.words.successor(words)
+        counts, out = self._at(self.counts, place, there), []
+        for (sizes, hashes), (successors, codes, own) in zip(below, self.levels, strict=True):
+            above, known = np.repeat(np.where(there, place, 0), sizes), np.repeat(there, sizes)
+            place, equal = successors.successor((above.astype(np.uint64) << U(32)) | hashes.astype(np.uint64))
+            there = known & equal
+            out.append((self._at(codes, place, there), self._at(own, place, there)))
+        return counts, out
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -202,23 +212,13 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint64)
 
 
-def order_of(contexts: np.ndarray) -> np.ndarray:
-    """0 for contexts of one word, 1 for those of two: their last bit."""
-    return (contexts & U(1)).astype(np.int64)
-
-
-def one_word(words: np.ndarray) -> np.ndarray:
-    """The contexts that words make."""
-    return words & ~U(1)
-
-
-def two_words(before: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The contexts that two contexts of one word make."""
-    return mix(before * U(0x9E3779B97F4A7C15) + last) | U(1)
+def pair_of(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of two words, of the second one by its first 32 bits."""
+    return mix(first * U(0x9E3779B97F4A7C15) + last)
 
 
 class Tokens:
-    """The tokens of some texts: how many each text has and where they begin, their hashes, and their contexts of one and two words."""
+    """The tokens of some texts: how many each text has and where they begin, their hashes and those of the words before them."""
 
     def __init__(self, texts: pa.ChunkedArray | pa.Array) -> None:
         table, sep = byte_table(401, fold=True), spaces()
@@ -238,13 +238,9 @@ class Tokens:
         self.word = np.empty(total, dtype=np.uint64)
         self.word[self.is_end] = END
         self.word[~self.is_end] = one
-        self.one = np.empty(total, dtype=np.uint64)
-        self.one[1:] = one_word(self.word[:-1])
-        self.one[self.begins] = one_word(BEGIN)
-        before = np.empty(total, dtype=np.uint64)
-        before[1:] = self.one[:-1]
-        before[self.begins] = one_word(BEGIN)
-        self.before, self.two = before, two_words(before, self.one)
+        self.before = np.empty(total, dtype=np.uint64)
+        self.before[1:] = self.word[:-1]
+        self.before[self.begins] = BEGIN
 
 
 @dataclass(frozen=True)
@@ -270,45 +266,121 @@ class HotContexts:
 
 
 class Chunk:
-    """The n-grams of some texts: distinct ones, by context and word, and each token's bigram and trigram."""
+    """The n-grams of some texts: distinct bigrams by word before and word, distinct trigrams by bigram and word, and those of each token."""
 
     def __init__(self, texts: pa.ChunkedArray | pa.Array, train: np.ndarray, hot: HotContexts, shards: int) -> None:
         t = Tokens(texts)
-        self.n_tokens, self.begins, self.is_end = t.n_tokens, t.begins, t.is_end
-        n = len(t.word)
-        self.contexts, which = np.unique(np.concatenate([t.one, t.two]), return_inverse=True)
+        self.n_tokens, self.begins, self.is_end, n = t.n_tokens, t.begins, t.is_end, len(t.word)
+        trained = np.repeat(train, self.n_tokens)
         low = t.word >> U(32)
+        self.words, self.before = np.unique(t.before, return_inverse=True)
         del t
-        key = (which.astype(np.uint64) << U(32)) | np.concatenate([low, low])
-        self.keys, at = np.unique(key, return_inverse=True)
-        del key, low
-        # bigrams, then trigrams
-        self.of_token, self.context_of = (at[:n], at[n:]), (which[:n], which[n:])
-        self.owner = (self.keys >> U(32)).astype(np.int64)
-        self.words = (self.keys & U(0xFFFFFFFF)).astype(np.uint32)
-        self.trained = np.repeat(train, self.n_tokens)
-        own = self.contexts[self.owner]
-        shard = mix(own) % U(shards)
-        k, is_hot = hot.find(own)
+        keys, self.bigram = np.unique((self.before.astype(np.uint64) << U(32)) | low, return_inverse=True)
+        self.bigrams, self.owner = (keys & U(0xFFFFFFFF)).astype(np.uint32), (keys >> U(32)).astype(np.int64)
+        # a token's trigram is the bigram of the token before it, and itself; first tokens have none
+        later = np.ones(n, dtype=bool)
+        later[self.begins] = False
+        self.later = np.flatnonzero(later)
+        keys, self.trigram = np.unique((self.bigram[self.later - 1].astype(np.uint64) << U(32)) | low[self.later], return_inverse=True)
+        self.trigrams, self.parent = (keys & U(0xFFFFFFFF)).astype(np.uint32), (keys >> U(32)).astype(np.int64)
+        del keys, low, later
+        self.counts = np.bincount(self.bigram[trained], minlength=len(self.bigrams)), np.bincount(self.trigram[trained[self.later]], minlength=len(self.trigrams))
+        del trained
+        first = self.words[self.owner]
+        home = self._spread(first, first, self.bigrams, hot, shards)
+        pair = pair_of(first, self.bigrams.astype(np.uint64))
+        k, is_hot = hot.find(pair)
+        of = home[self.parent]
         if is_hot.any():
-            shard[is_hot] = mix(own[is_hot] + mix(self.words[is_hot].astype(np.uint64)) % hot.parts[k[is_hot]] + U(1)) % U(shards)
-        self.shard = shard.astype(np.int32)
-        self.order = np.argsort(self.shard, kind="stable")
+            loose = is_hot[self.parent]
+            of[loose] = self._spread(pair[self.parent[loose]], pair[self.parent[loose]], self.trigrams[loose], hot, shards)
+        # what is sent: each bigram to its shard and, without its count, to those of its trigrams that are elsewhere
+        m = max(len(self.bigrams), 1)
+        away = of != home[self.parent]
+        carried = np.unique(of[away] * m + self.parent[away])
+        entries = np.concatenate([home * m + np.arange(len(home)), carried])
+        at_home = np.concatenate([np.ones(len(home), dtype=bool), np.zeros(len(carried), dtype=bool)])
+        order = np.argsort(entries, kind="stable")
+        self.entries, self.at_home = entries[order], at_home[order]
+        del entries, at_home, order, first, home, pair
+        self.order = np.argsort(of, kind="stable")
+        under = np.searchsorted(self.entries, of[self.order] * m + self.parent[self.order])
+        self.below = np.bincount(under, minlength=len(self.entries))
+        self.shard, self.entry = self.entries // m, self.entries % m
 
-    def counts(self) -> np.ndarray:
-        """How often each n-gram occurs in training texts."""
-        return sum(np.bincount(at[self.trained], minlength=len(self.keys)) for at in self.of_token)
+    @staticmethod
+    def _spread(key: np.ndarray, context: np.ndarray, words: np.ndarray, hot: HotContexts, shards: int) -> np.ndarray:
+        """The shards of contexts; of hot ones by the words that follow."""
+        out = mix(key + U(0)) % U(shards)
+        k, is_hot = hot.find(context)
+        if is_hot.any():
+            out[is_hot] = mix(key[is_hot] + mix(words[is_hot].astype(np.uint64)) % hot.parts[k[is_hot]] + U(1)) % U(shards)
+        return out.astype(np.int64)
 
-    def per_shard(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(shard, its n-grams, where its contexts begin among them, its contexts)."""
-        if not len(self.order):
+    def messages(self) -> Iterator[Message]:
+        """What each shard is sent."""
+        if not len(self.entry):
             return
-        s = self.shard[self.order]
-        cut = np.flatnonzero(s[1:] != s[:-1]) + 1
-        for part in np.split(self.order, cut):
-            own = self.owner[part]
+        cut = np.flatnonzero(np.diff(self.shard)) + 1
+        edges = np.concatenate([[0], cut, [len(self.shard)]])
+        ends = np.concatenate([[0], np.cumsum(self.below)])
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            entry = self.entry[i:j]
+            own = self.owner[entry]
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            yield int(self.shard[part[0]]), part, first, own[first]
+            yield Message(int(self.shard[i]), own[first], np.diff(np.append(first, j - i)), entry, self.at_home[i:j], self.below[i:j], self.order[ends[i] : ends[j]])
+
+    def packed(self, m: Message) -> bytes:
+        """A message's hashes and counts."""
+        n2, n3 = self.counts
+        return _pack(self.words[m.word], _narrow(m.sizes), self.bigrams[m.bigram], _narrow(np.where(m.at_home, n2[m.bigram], 0)), _narrow(m.below), self.trigrams[m.trigram], _narrow(n3[m.trigram]))
+
+
+@dataclass(frozen=True)
+class Message:
+    """Places in a chunk's lists: words, how many bigrams follow each, bigrams, which of them are counted here, how many trigrams follow each, trigrams."""
+
+    shard: int
+    word: np.ndarray
+    sizes: np.ndarray
+    bigram: np.ndarray
+    at_home: np.ndarray
+    below: np.ndarray
+    trigram: np.ndarray
+
+
+def merged(asked: list[list[np.ndarray]], hot: HotContexts) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Words, their counts, and the levels of a trie of what training texts hold of the messages."""
+    together = lambda k, kind: np.concatenate([a[k].astype(kind) for a in asked])
+    words, which = np.unique(together(0, np.uint64), return_inverse=True)
+    keys, at = np.unique((np.repeat(which, together(1, np.int64)).astype(np.uint64) << U(32)) | together(2, np.uint64), return_inverse=True)
+    n2 = np.bincount(at, weights=together(3, np.float64), minlength=len(keys)).astype(np.int64)
+    key3 = (np.repeat(at, together(4, np.int64)).astype(np.uint64) << U(32)) | together(5, np.uint64)
+    del which, at
+    n3 = together(6, np.int64)
+    key3, n3 = key3[n3 > 0], n3[n3 > 0]
+    order = np.argsort(key3)
+    key3, n3 = key3[order], n3[order]
+    first = np.flatnonzero(np.concatenate([[True], key3[1:] != key3[:-1]])) if len(key3) else np.zeros(0, dtype=np.int64)
+    key3, n3 = key3[first], np.add.reduceat(n3, first) if len(first) else n3
+    del order, first
+    parent = (key3 >> U(32)).astype(np.int64)
+    after = np.bincount(parent, weights=n3, minlength=len(keys)).astype(np.int64)
+    # bigrams of other texts alone are not kept; those carried here for their trigrams are
+    kept = (n2 > 0) | (after > 0)
+    place = np.cumsum(kept) - 1
+    keys, n2, after = keys[kept], n2[kept], after[kept]
+    key3 = (place[parent].astype(np.uint64) << U(32)) | (key3 & U(0xFFFFFFFF))
+    parent = place[parent]
+    owner = (keys >> U(32)).astype(np.int64)
+    counts = np.bincount(owner, weights=n2, minlength=len(words)).astype(np.int64)
+    k, is_hot = hot.find(words)
+    counts[is_hot] = hot.counts[k[is_hot]]
+    k, is_hot = hot.find(pair_of(words[owner], keys & U(0xFFFFFFFF)))
+    after[is_hot] = hot.counts[k[is_hot]]
+    two = code_of(n2 / (counts[owner] + MU[0]))
+    three = code_of(n3 / (after[parent] + MU[1]))
+    return words, counts, [(keys, two, after), (key3, three, np.zeros(len(key3), dtype=np.int64))]
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -332,28 +404,27 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def paired(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """(hash, n): how often each context of two of the given one-word contexts occurs in training texts; docs (text, train)."""
+    """(hash, n): how often each pair of two of the given words is followed in training texts; docs (text, train)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = HotContexts(words, words, words)
         for b in batches:
-            train = np.asarray(b.column("train"))
-            t = Tokens(b.column("text").filter(pa.array(train)))
-            h, n = np.unique(t.two[known.find(t.before)[1] & known.find(t.one)[1]], return_counts=True)
+            t = Tokens(b.column("text").filter(b.column("train")))
+            both = known.find(t.before)[1] & known.find(t.word)[1] & ~t.is_end
+            h, n = np.unique(pair_of(t.before[both], t.word[both] >> U(32)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["hash", "n"])
 
     return docs.select("text", "train").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def hot_contexts(rows: DataFrame, words: DataFrame, n_train: int, n_ends: int, shards: int) -> HotContexts:
-    """The contexts with over 1 / HOT of a shard's share: at most HOT * shards of each order."""
+    """The words and pairs with over 1 / HOT of a shard's share: at most HOT * shards of each."""
     least = max(LEAST_HOT, n_train / (HOT * shards))
     unsigned = lambda h: int(np.int64(h).view(np.uint64))
-    hot = {int(one_word(U(unsigned(r["hash"])))): r["n"] for r in words.filter(F.col("n") > least).collect()}
-    hot.pop(int(one_word(END)), None)  # nothing follows an end
-    begin = one_word(np.array([BEGIN]))
+    hot = {unsigned(r["hash"]): r["n"] for r in words.filter(F.col("n") > least).collect()}
+    hot.pop(int(END), None)  # nothing follows an end
     if n_ends > least:
-        hot[int(begin[0])] = n_ends
+        hot[int(BEGIN)] = n_ends
     if hot:
         pairs = paired(rows, np.array(sorted(hot), dtype=np.uint64)).filter(F.col("n") > least)
         hot |= {unsigned(r["hash"]): r["n"] for r in pairs.collect()}
@@ -379,44 +450,22 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def send(key: tuple, t: pa.Table) -> pa.Table:
         c = Chunk(t["text"], np.asarray(t["train"]), hot, n_parts)
-        n = c.counts()
         out: list[list] = [[], []]
-        for shard, part, first, own in c.per_shard():
-            out[0].append(shard)
-            out[1].append(_pack(c.contexts[own], _narrow(np.diff(np.append(first, len(part)))), c.words[part], _narrow(n[part])))
-        del c, n
+        for m in c.messages():
+            out[0].append(m.shard)
+            out[1].append(c.packed(m))
+        del c
         give_back()
         return pa.table({"shard": pa.array(out[0], pa.int32()), "chunk": pa.array([key[0].as_py()] * len(out[0]), pa.int32()), "asked": pa.array(out[1], pa.binary())})
 
     def serve(_: tuple, t: pa.Table) -> pa.Table:
         asked = [_unpack(x.as_py()) for x in t["asked"]]
-        contexts, which = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        key = np.repeat(which.astype(np.uint64) << U(32), np.concatenate([a[1] for a in asked]))
-        key |= np.concatenate([a[2] for a in asked])
-        n = np.concatenate([a[3] for a in asked])
-        del which
-        # only what training texts hold is stored
-        key, n = key[n > 0], n[n > 0]
-        order = np.argsort(key)
-        key, n = key[order], n[order]
-        del order
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
-        keys, n = key[first], np.add.reduceat(n.astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
-        del key, first
-        owner = (keys >> U(32)).astype(np.int64)
-        counts = np.bincount(owner, weights=n.astype(np.float64), minlength=len(contexts)).astype(np.int64)
-        at, is_hot = hot.find(contexts)
-        counts[is_hot] = hot.counts[at[is_hot]]
-        share = n / (counts + MU[order_of(contexts)])[owner]
-        sizes = np.bincount(owner, minlength=len(contexts))
-        del owner, n
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(os.path.join(folder, "levels")).build(contexts, counts, sizes, (keys & U(0xFFFFFFFF)).astype(np.uint32), code_of(share))
-            del keys, share, counts, contexts, sizes
+            trie = Trie(os.path.join(folder, "levels")).build(*merged(asked, hot))
             answers = []
-            for a in asked:
-                c, codes = trie.ask(a[0], a[1], a[2])
-                answers.append(_pack(_narrow(c), codes))
+            for words, sizes, two, _, below, three, _ in asked:
+                counts, ((codes2, after), (codes3, _)) = trie.ask(words, [(sizes.astype(np.int64), two), (below.astype(np.int64), three)])
+                answers.append(_pack(_narrow(counts), codes2, _narrow(after), codes3))
             del trie
         del asked
         give_back()
@@ -425,31 +474,33 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def sum_up(key: tuple, t: pa.Table, told: pa.Table) -> pa.Table:
         c = Chunk(t["text"], np.asarray(t["train"]), hot, n_parts)
         answers = dict(zip(told["shard"].to_pylist(), told["told"].to_pylist(), strict=True))
-        codes = np.zeros(len(c.keys), dtype=np.uint8)
-        counts = np.zeros(len(c.contexts), dtype=np.int64)
-        for shard, part, _, own in c.per_shard():
-            counts[own], codes[part] = _unpack(answers[shard])
+        two, three = np.zeros(len(c.bigrams), dtype=np.uint8), np.zeros(len(c.trigrams), dtype=np.uint8)
+        counts, after = np.zeros(len(c.words), dtype=np.int64), np.zeros(len(c.bigrams), dtype=np.int64)
+        for m in c.messages():
+            counts[m.word], codes, own, three[m.trigram] = _unpack(answers[m.shard])
+            two[m.bigram[m.at_home]], after[m.bigram[m.at_home]] = codes[m.at_home], own[m.at_home]
         base = (np.append(counts, n_ends) + ADD) / (n_train + ADD * (n_distinct + 1))
-        # a token is the context of the next one; an end has the last place
-        token = np.append(c.context_of[0][1:], 0)
+        # a token is what stands before the next one; an end has the last place
+        token = np.append(c.before[1:], 0)
         token[c.is_end] = len(counts)
         known = np.append(counts, n_ends)[token] > 0
-        p1 = p = base[token]
-        for mu, at, of in zip(MU, c.of_token, c.context_of, strict=True):
-            p = SHARES[codes[at]] + mu / (counts[of] + mu) * p
+        p1 = base[token]
+        p = SHARES[two[c.bigram]] + MU[0] / (counts[c.before] + MU[0]) * p1
+        follows = after[c.bigram[c.later - 1]]
+        p[c.later] = SHARES[three[c.trigram]] + MU[1] / (follows + MU[1]) * p[c.later]
         by = lambda x: np.add.reduceat(x, c.begins) if len(x) else np.zeros(0)
-        m = len(c.n_tokens)
         out = pa.table(
             {
                 "doc_id": t["doc_id"],
                 "held_out": t["held_out"],
                 "n_tokens": pa.array(c.n_tokens.astype(np.int64)),
                 "n_known": pa.array(by(known.astype(np.int64)).astype(np.int64)),
-                "train_tokens": pa.array(np.full(m, n_train, dtype=np.int64)),
+                "train_tokens": pa.array(np.full(len(c.n_tokens), n_train, dtype=np.int64)),
                 "base_score": pa.array(by(np.log10(p1))),
                 "score": pa.array(by(np.log10(p))),
             }
         )
+        del c, answers
         give_back()
         return out
 
