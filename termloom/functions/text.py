@@ -182,16 +182,33 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\b\w\w+\b"), 0)
 
 
+#: elements that are summed together by running_totals
+STRIDE = 64
+
+
+def running_totals(lengths: Column) -> Column:
+    """What stands before each element of an array<long> in total: sums of strides first, so the work grows little faster than the array."""
+    zero = F.lit(0).cast("long")
+    none = F.array().cast("array<bigint>")
+    n = F.size(lengths)
+
+    def before(values: Column, start: Column) -> Column:
+        """Totals before each value, from start on."""
+        first = F.struct(start.alias("total"), none.alias("out"))
+        return F.aggregate(values, first, lambda a, x: F.struct((a["total"] + x).alias("total"), F.concat(a["out"], F.array(a["total"])).alias("out")))["out"]
+
+    strides = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STRIDE).cast("int")), lambda k: F.slice(lengths, k * STRIDE + 1, STRIDE))
+    starts = before(F.transform(strides, lambda x: F.aggregate(x, zero, lambda s, v: s + v)), zero)
+    return F.when(n > 0, F.flatten(F.zip_with(strides, starts, before))).otherwise(none)
+
+
 def regex_spans(text: Column, pattern: Column) -> Column:
     """Array of (match, begin, end) of all matches: lengths of the matches and of what lies between add up to offsets."""
     m, g = F.regexp_extract_all(text, pattern, 0), F.split(text, pattern, -1)
-    total = lambda a, n: F.aggregate(F.transform(F.slice(a, 1, n), lambda x: F.length(x).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-
-    def one(x: Column, i: Column) -> Column:
-        begin = total(g, i + 1) + total(m, i)
-        return F.struct(x.alias("match"), begin.alias("begin"), (begin + F.length(x)).alias("end"))
-
-    return F.transform(m, one)
+    size = lambda x: F.coalesce(F.length(x).cast("long"), F.lit(0).cast("long"))
+    steps = F.zip_with(m, F.slice(g, 1, F.size(m)), lambda x, between: F.struct(x.alias("match"), size(between).alias("gap"), size(x).alias("n")))
+    totals = running_totals(F.transform(steps, lambda x: x["gap"] + x["n"]))
+    return F.zip_with(steps, totals, lambda x, t: F.struct(x["match"].alias("match"), (t + x["gap"]).alias("begin"), (t + x["gap"] + x["n"]).alias("end")))
 
 
 def quoted_terms(text: Column, terms: str, abbreviations: str) -> Column:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions import text as T
@@ -19,10 +23,27 @@ def bio_tags(sentences: DataFrame, key: str = "sent_id", begin: str = T.BEGIN, e
     return rows.select(key, (F.row_number().over(order) - 1).alias("pos"), "token", "tag")
 
 
-def forward_fill(rows: DataFrame, column: str, order: str, partition: list[str] | None = None) -> DataFrame:
-    """rows with the last value that is neither null nor empty; without a partition, of the whole table."""
-    window = Window.partitionBy(*(partition or [])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(column, F.last(F.when(F.col(column) != "", F.col(column)), ignorenulls=True).over(window))
+#: rows of a stride of a whole table
+STRIDE = 1 << 16
+
+
+def forward_fill(rows: DataFrame, column: str, order: str, partition: list[str] | None = None, strided: bool | None = None) -> DataFrame:
+    """rows with the last value that is neither null nor empty, up to each row of its partition (without one, of the whole table).
+
+    strided, as it is without a partition: by a numeric order, strides of a partition are filled apart, and what each leaves to the next ones, a
+    row a stride, is filled first; so no task holds a large partition.
+    """
+    keys = list(partition or [])
+    value = F.when(F.col(column) != "", F.col(column))
+    if not (strided if strided is not None else not keys):
+        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(column, F.last(value, ignorenulls=True).over(window))
+    own = rows.withColumn("_stride", F.floor(F.col(order) / STRIDE))
+    ends = own.groupBy(*keys, "_stride").agg(F.max_by(value, F.when(value.isNotNull(), F.col(order))).alias("_left"))
+    before = ends.select(*keys, "_stride", F.last("_left", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_stride").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    window = Window.partitionBy(*keys, "_stride").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = own.withColumn(column, F.last(value, ignorenulls=True).over(window)).join(before, [*keys, "_stride"], "left")
+    return filled.withColumn(column, F.coalesce(column, "_before")).select(*rows.columns)
 
 
 def sentences_of(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -72,3 +93,38 @@ def decode(sentences: DataFrame, tagged: DataFrame, key: str = "sent_id") -> Dat
     counts = there.groupBy(key, "run").agg(F.count("*").alias("n_there")).join(here.groupBy(key, "run").agg(F.count("*").alias("n_here")), [key, "run"]).filter("n_here >= n_there")
     inside = there.filter("t_begin >= run_begin and t_end <= run_end").join(counts, [key, "run"], "left_semi")
     return inside.join(here, [key, "run", "k"]).select(key, F.col("match").alias("term"), "begin", "end").distinct()
+
+
+#: tag of what fills sentences up to one length
+PAD = "PAD"
+
+
+def classify_tokens(sentences: DataFrame, model: Callable[[list[list[str]]], Sequence[np.ndarray]], tags: Sequence[str], key: str = "sent_id", length: int = 75, batch: int = 32) -> DataFrame:
+    """(key, pos, token, tag) of sentences (key, tokens) by a token classifier that a worker calls with batches of equally long sentences.
+
+    Sentences are cut, or filled with empty tokens, to `length`; the model gives an array (sentences, length, tags) of scores, of which each token
+    gets the best tag.  Tokens beyond the length have no tag and are left out, as are those that fill up.
+    """
+    kind = dict(sentences.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, tokens = b.column("key").to_pylist(), b.column("tokens").to_pylist()
+            for s in range(0, len(keys), batch):
+                own = [(t or [])[:length] for t in tokens[s : s + batch]]
+                scores = np.asarray(model([[*t, *[""] * (length - len(t))] for t in own]))
+                best = scores.argmax(axis=2) if len(own) else scores
+                rows = [(k, i, w, tags[best[n, i]]) for n, (k, t) in enumerate(zip(keys[s : s + batch], own, strict=True)) for i, w in enumerate(t)]
+                rows = [r for r in rows if r[3] != PAD]
+                if rows:
+                    columns = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], b.column("key").type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string())], ["key", "pos", "token", "tag"])
+
+    found = sentences.select(F.col(key).alias("key"), "tokens").mapInArrow(run, f"key {kind}, pos int, token string, tag string")
+    return found.withColumnRenamed("key", key)
+
+
+def tagged_terms(sentences: DataFrame, model: Callable[[list[list[str]]], Sequence[np.ndarray]], tags: Sequence[str], tokens: Column, key: str = "sent_id", length: int = 75) -> DataFrame:
+    """(key, term, begin, end): sentences (key, text) cut into tokens, classified, word pieces merged and decoded to spans."""
+    classified = classify_tokens(sentences.select(key, tokens.alias("tokens")), model, tags, key, length)
+    return decode(sentences, merge_pieces(classified, key), key)

@@ -30,6 +30,16 @@ def mean_labels(labels: DataFrame) -> DataFrame:
     return labels.groupBy("uri").agg(F.count("*").alias("n")).agg(F.avg("n").alias("mean_labels"))
 
 
+def mean_predictions(predictions: DataFrame) -> DataFrame:
+    """One row: predictions (label, match) a label that has any, on average."""
+    return predictions.groupBy("label").agg(F.count("*").alias("n")).agg(F.avg("n").alias("mean_predictions"))
+
+
+def link_counts(own: DataFrame, other: DataFrame) -> DataFrame:
+    """One row (n_self, n_other): how many pairs two link tables hold."""
+    return own.agg(F.count("*").alias("n_self")).join(F.broadcast(other.agg(F.count("*").alias("n_other"))), F.lit(True))
+
+
 def confusion(scored: DataFrame, threshold: float) -> DataFrame:
     """(label, predicted, n) of (label, sim), predicted being sim >= threshold."""
     return scored.groupBy("label", (F.col("sim") >= threshold).cast("int").alias("predicted")).agg(F.count("*").alias("n"))
@@ -95,6 +105,66 @@ def sampled_pairs(labels: DataFrame, n: int, seed: int = 0, same: bool = True) -
     return pairs.orderBy(F.xxhash64("label_i", "label_j", F.lit(seed)), "label_i", "label_j").limit(n).withColumn("label", F.lit(int(same)))
 
 
+def in_relations(pairs: DataFrame, relations: DataFrame) -> DataFrame:
+    """pairs (uri_i, uri_j, ...) with label: 1 if the second concept is among the related ones of the first (uri1, uri2), else 0."""
+    known = relations.select(F.col("uri1").alias("uri_i"), F.col("uri2").alias("uri_j")).distinct().withColumn("_there", F.lit(1))
+    return pairs.join(known, ["uri_i", "uri_j"], "left").withColumn("label", F.coalesce("_there", F.lit(0))).drop("_there")
+
+
+def drawn(rows: DataFrame, n: int, seed: int, order: str, replacement: bool = False) -> DataFrame:
+    """n rows in a random order that a seed fixes on any cluster, numbered by `draw`; with replacement, rows can come again.
+
+    The n draws are what is wanted, so they are one short table.  Without replacement the rows come in the order of a hash.  With it, each
+    draw is a hash modulo the number of rows, and rows are numbered by their order within ranges of it, never in one task.
+    """
+    if not replacement:
+        first = rows.withColumn("_h", F.xxhash64(order, F.lit(seed))).orderBy("_h", order).limit(n)
+        return first.withColumn("draw", (F.row_number().over(Window.orderBy("_h", order)) - 1).cast("long")).drop("_h")
+    spark = rows.sparkSession
+    blocks = rows.withColumn("_b", F.pmod(F.xxhash64(order), F.lit(1024)))
+    sizes = blocks.groupBy("_b").agg(F.count("*").alias("_n"))
+    offsets = sizes.withColumn("_at", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    numbered = blocks.withColumn("_i", F.row_number().over(Window.partitionBy("_b").orderBy(order)) - 1).join(F.broadcast(offsets), "_b").withColumn("_i", F.col("_i") + F.col("_at"))
+    total = F.broadcast(rows.agg(F.count("*").alias("_total")).filter("_total > 0"))
+    draws = spark.range(n).withColumnRenamed("id", "draw").join(total, F.lit(True)).select("draw", F.pmod(F.xxhash64("draw", F.lit(seed)), F.col("_total")).alias("_i"))
+    return numbered.join(draws, "_i").drop("_i", "_b", "_at")
+
+
+def split(rows: DataFrame, share: float, seed: int, key: str) -> tuple[DataFrame, DataFrame]:
+    """(training, validation) rows: `share` of the keys, by a hash with the seed, are for validation; the same on any cluster."""
+    low = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))
+    return rows.filter(~low), rows.filter(low)
+
+
+def evaluation_pairs(labels: DataFrame, relations: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """(draw, uri_i, label_i, uri_j, label_j, label): n pairs of concepts drawn with replacement, one label of each, and whether they are related.
+
+    Pairs of a concept with itself go, so there may be fewer than n.
+    """
+    concepts = labels.groupBy("uri").agg(F.array_sort(F.collect_set("label")).alias("own"))
+
+    def side(which: str, salt: int) -> DataFrame:
+        picked = F.get("own", F.pmod(F.xxhash64("draw", F.lit(salt), F.lit("label")), F.size("own")).cast("int"))
+        return drawn(concepts, n, salt, "uri", replacement=True).select("draw", F.col("uri").alias(f"uri_{which}"), picked.alias(f"label_{which}"))
+
+    pairs = side("i", 2 * seed).join(side("j", 2 * seed + 1), "draw").filter("uri_i <> uri_j")
+    return in_relations(pairs, relations).select("draw", "uri_i", "label_i", "uri_j", "label_j", "label")
+
+
+def similarity_report(labels: DataFrame, relations: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """One row: labels a concept and predictions a label on average, and right, wrong and missing predictions of labels of one concept and of related ones.
+
+    pairs (query, match, sim) hold each label's similarities, itself left out; those of at least the threshold are predictions.
+    """
+    said = pairs.filter(F.col("sim") >= threshold).select(F.col("query").alias("label"), "match")
+    same, far = label_counts(labels, said), related_counts(labels, relations, said)
+    named = lambda df, x: df.select(*(F.col(c).alias(f"{x}_{c}") for c in ("tp", "fp", "fn")))
+    out = mean_labels(labels)
+    for one_row in (mean_predictions(said), named(same, "same"), named(far, "related")):
+        out = out.join(F.broadcast(one_row), F.lit(True))
+    return out
+
+
 def balanced_pairs(labels: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n pairs of one concept and n of different ones."""
     return sampled_pairs(labels, n, seed, True).unionByName(sampled_pairs(labels, n, seed, False))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions import text as T
@@ -46,26 +46,57 @@ def covering(inner: DataFrame, outer: DataFrame, key: str = "doc_id") -> DataFra
     return covered(outer, inner, key)
 
 
-def overlapping(a: DataFrame, b: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of a that share a character with a row of b."""
-    x, y = _sided(a, "a_", key), _sided(b.select(key, "begin", "end"), "b_", key).withColumnRenamed(key, "_key")
-    kept = x.join(y, (F.col(key) == F.col("_key")) & overlaps("a_", "b_"), "left_semi")
+def _buckets(begin: str, end: str) -> Column:
+    """The character buckets that a span touches."""
+    return F.explode(F.sequence(F.floor(F.col(begin) / BUCKET), F.floor(F.greatest(begin, end) / BUCKET)))
+
+
+def _matching(a: DataFrame, b: DataFrame, key: str, holds: Column, how: str, bucketed: bool) -> DataFrame:
+    """Rows of a for which some row of b fulfils the condition (left_semi), or none does (left_anti).
+
+    bucketed: spans meet in the character buckets that both touch, so a document with very many spans is not gone through pair by pair.
+    """
+    x, y = _sided(a, "a_", key), _sided(b.select(key, "begin", "end").distinct(), "b_", key).withColumnRenamed(key, "_key")
+    if not bucketed:
+        kept = x.join(y, (F.col(key) == F.col("_key")) & holds, how)
+    else:
+        spans = x.select(key, "a_begin", "a_end").distinct().withColumn("_bucket", _buckets("a_begin", "a_end"))
+        other = y.withColumn("_b_bucket", _buckets("b_begin", "b_end"))
+        met = spans.join(other, (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_b_bucket")) & holds, "left_semi").drop("_bucket").distinct()
+        kept = x.join(met, [key, "a_begin", "a_end"], how)
     return kept.select(*(F.col(c if c == key else f"a_{c}").alias(c) for c in a.columns))
 
 
-def not_covered(inner: DataFrame, outer: DataFrame, key: str = "doc_id") -> DataFrame:
+def overlapping(a: DataFrame, b: DataFrame, key: str = "doc_id", bucketed: bool = False) -> DataFrame:
+    """Rows of a that share a character with a row of b."""
+    return _matching(a, b, key, overlaps("a_", "b_"), "left_semi", bucketed)
+
+
+def not_covered(inner: DataFrame, outer: DataFrame, key: str = "doc_id", bucketed: bool = False) -> DataFrame:
     """Rows of inner that lie in no row of outer (clearing what stands inside, e.g., tables)."""
-    x, y = _sided(inner, "i_", key), _sided(outer.select(key, "begin", "end"), "o_", key).withColumnRenamed(key, "_key")
-    kept = x.join(y, (F.col(key) == F.col("_key")) & covers("o_", "i_"), "left_anti")
-    return kept.select(*(F.col(c if c == key else f"i_{c}").alias(c) for c in inner.columns))
+    return _matching(inner, outer, key, covers("b_", "a_"), "left_anti", bucketed)
+
+
+def in_larger(key: str = "doc_id", counts: Column | None = None) -> tuple[Column, Column]:
+    """Two steps that tell which spans lie in a strictly larger one of the same key: `_reach` and, with that column there, the flag.
+
+    In the order of begin and, backwards, end, a span lies in one before it if that ends no earlier; equal spans share the answer
+    of the first of them.  counts: which rows can be the larger one.
+    """
+    order = Window.partitionBy(key).orderBy("begin", F.desc("end"))
+    end = F.col("end") if counts is None else F.when(counts, F.col("end"))
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    least = F.min(F.coalesce(F.col("_reach"), F.lit(-1))).over(Window.partitionBy(key, "begin", "end"))
+    return reach, least >= F.col("end")
 
 
 def longest(spans: DataFrame, among: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """Spans that no strictly larger span of `among` (themselves) covers; equal spans do not count."""
-    x, y = _sided(spans, "i_", key), _sided((spans if among is None else among).select(key, "begin", "end"), "o_", key).withColumnRenamed(key, "_key")
-    larger = covers("o_", "i_") & ((F.col("o_begin") != F.col("i_begin")) | (F.col("o_end") != F.col("i_end")))
-    kept = x.join(y, (F.col(key) == F.col("_key")) & larger, "left_anti")
-    return kept.select(*(F.col(c if c == key else f"i_{c}").alias(c) for c in spans.columns))
+    """Spans that no strictly larger span of `among` (themselves) covers; equal spans do not count. One shuffle by key, no pairs."""
+    rows = spans.withColumn("_own", F.lit(True))
+    if among is not None:
+        rows = rows.unionByName(among.select(key, "begin", "end").withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    reach, inside = in_larger(key, None if among is None else ~F.col("_own"))
+    return rows.withColumn("_reach", reach).withColumn("_inside", inside).filter(F.col("_own") & ~F.col("_inside")).select(*spans.columns)
 
 
 def without_equal(spans: DataFrame, others: DataFrame, keys: Sequence[str] = ("doc_id", "begin", "end")) -> DataFrame:
@@ -87,14 +118,12 @@ def leaf_tags(tags: DataFrame, texts: DataFrame, names: Sequence[str] = ("p",))
 
 
 def line_segments(docs: DataFrame) -> DataFrame:
-    """(doc_id, seg_id, begin, end, text): the non-blank lines of plain texts, stripped, with the lines' offsets."""
-    lines = docs.select("doc_id", F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("t"), (F.length(x).cast("long") + 1).alias("n"))).alias("lines"))
-    at = lines.select("doc_id", "lines", F.posexplode("lines").alias("seg_id", "line"))
-    from pyspark.sql import Window
-
-    before = F.coalesce(F.sum("line.n").over(Window.partitionBy("doc_id").orderBy("seg_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = at.drop("lines").withColumn("begin", before)
-    return out.select("doc_id", F.col("seg_id").cast("long"), "begin", (F.col("begin") + F.col("line.n") - 1).alias("end"), T.strip(F.col("line.t")).alias("text")).filter("text <> ''")
+    """(doc_id, seg_id, begin, end, text): the non-blank lines of plain texts, stripped, with the lines' offsets. No shuffle."""
+    lines = docs.select("doc_id", F.split("text", "\n").alias("lines"))
+    lengths = F.transform("lines", lambda x: F.length(x).cast("long") + 1)
+    placed = F.zip_with("lines", T.running_totals(lengths), lambda t, b: F.struct(t.alias("t"), b.alias("begin")))
+    at = lines.select("doc_id", F.posexplode(placed).alias("seg_id", "x")).select("doc_id", F.col("seg_id").cast("long").alias("seg_id"), "x.begin", F.col("x.t").alias("t"))
+    return at.select("doc_id", "seg_id", "begin", (F.col("begin") + F.length("t")).alias("end"), T.strip(F.col("t")).alias("text")).filter("text <> ''")
 
 
 def html_paragraphs(pages: DataFrame) -> DataFrame:
@@ -109,8 +138,6 @@ def user_annotations(user_spans: DataFrame, tags: DataFrame, texts: DataFrame, u
 
     A span counts in a tag that contains it; two spans may touch, not cross. All users count if none are named.
     """
-    from pyspark.sql import Window
-
     chosen = user_spans.filter(F.col("user").isin(list(users))) if users else user_spans
     inside = covered(tags.select("doc_id", "tag_id", "begin", "end"), chosen.select("doc_id", "begin", "end").distinct())
     order = Window.partitionBy("doc_id", "o_tag_id").orderBy("i_begin", "i_end")

@@ -5,6 +5,7 @@ Where the tables lack what an operator looks for, both sides build the same deri
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: what is looked up in the documents
 TERMS = ("the", "and", "of the", "la", "und", "que", "en", "der", "ation", "is the")
 WHITELIST, BLACKLIST = ("of the", "und", "be"), ("the", "de la")
+#: terms that stand for quoted ones where they begin at an even place
+QUOTED = ("of the", "la", "que")
 THRESHOLD, NEIGHBOURS = 0.3, 5
 
 _queries: dict[str, Query] = {}
@@ -51,9 +54,8 @@ def _list(words: tuple[str, ...] | list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-def _segments(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return spans.line_segments(docs.filter(F.col("lang") == lang) if lang else docs)
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.line_segments(_table(spark, sf_dir, "documents"))
 
 
 _SEGMENTS = r"""lines as (select doc_id, lang, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from documents),
@@ -75,38 +77,43 @@ def html_p_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.html_paragraphs(_table(spark, sf_dir, "pages"))
 
 
-_GRAMS = _SEGMENTS + r""",
-words as (select doc_id, seg_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]{2,}') as w from segments where lang = 'en'),
-grams as (select distinct doc_id, seg_id, term from (
-  select doc_id, seg_id, unnest(w) as term from words union all
-  select doc_id, seg_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as term from words))"""
+#: tokens of the longest run that is scored, as Config().max_len_ngram has it
+LONGEST = Config().max_len_ngram + 1
+_GRAMS = (
+    _SEGMENTS
+    + r""",
+words as (select doc_id, seg_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]{2,}') as w from segments),
+grams as (select distinct doc_id, seg_id, term from ("""
+    + " union all ".join(f"select doc_id, seg_id, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) as term from words" for n in range(1, LONGEST + 1))
+    + "))"
+)
 
 
 @registered(f"with {_GRAMS} select term, cast(count(*) as bigint) as df from grams group by term")
 def ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many English segments hold each run of one or two words."""
-    return scoring.segment_ngrams(_segments(spark, sf_dir, "en"), 2).groupBy("term").agg(F.count("*").alias("df"))
+    """How many segments hold each run of one to five words."""
+    return scoring.segment_ngrams(_segments(spark, sf_dir), LONGEST).groupBy("term").agg(F.count("*").alias("df"))
 
 
-_CORPUS = "with " + _GRAMS + ", n as (select count(*) as n from segments where lang = 'en'), scored as (select term, cast(count(*) as bigint) as df, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams, n group by term)"
+_CORPUS = "with " + _GRAMS + ", n as (select count(*) as n from segments), scored as (select term, cast(count(*) as bigint) as df, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams, n group by term)"
 
 
 @registered(_CORPUS + " select term, df, score from scored")
 def ngram_idf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """idf over all English segments."""
-    return scoring.idf(_segments(spark, sf_dir, "en"), None, 1, "corpus").select("term", "df", "score")
+    """idf over all segments."""
+    return scoring.idf(_segments(spark, sf_dir), None, LONGEST - 1, "corpus").select("term", "df", "score")
 
 
-@registered("with " + _GRAMS + ", n as (select doc_id, count(*) as n from segments where lang = 'en' group by doc_id) select doc_id, term, cast(count(*) as bigint) as df, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams join n using (doc_id) group by doc_id, term")
+@registered("with " + _GRAMS + ", n as (select doc_id, count(*) as n from segments group by doc_id) select doc_id, term, cast(count(*) as bigint) as df, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams join n using (doc_id) group by doc_id, term")
 def ngram_idf_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """idf over the segments of each English document."""
-    return scoring.idf(_segments(spark, sf_dir, "en"), None, 1, "document").select("doc_id", "term", "df", "score")
+    """idf over the segments of each document."""
+    return scoring.idf(_segments(spark, sf_dir), None, LONGEST - 1, "document").select("doc_id", "term", "df", "score")
 
 
 @registered(_CORPUS + " select term, df, score from scored order by score desc, term limit 100")
 def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 100 terms of the English segments with the highest idf, ties by term."""
-    return scoring.idf(_segments(spark, sf_dir, "en"), None, 1, "corpus").select("term", "df", "score").orderBy(F.desc("score"), "term").limit(100)
+    """The 100 terms with the highest idf, ties by term."""
+    return scoring.idf(_segments(spark, sf_dir), None, LONGEST - 1, "corpus").select("term", "df", "score").orderBy(F.desc("score"), "term").limit(100)
 
 
 @registered(rf"with {_SEGMENTS}, w as (select distinct unnest(regexp_extract_all(lower(text), '[^\s]+')) as term from segments) select term from w where regexp_full_match(term, '\p{{L}}+') and length(term) > 1 and term not in ({_list(invalid_words())})")
@@ -125,16 +132,18 @@ def punct_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return matching.dictionary_matches(docs, _words(spark, TERMS), ["doc_id"])
+    # the longest term is two words and the blank between them
+    return matching.dictionary_matches(docs, _words(spark, TERMS), ["doc_id"], most=3)
 
 
-_MATCHES = f"""terms as (select unnest([{_list(TERMS)}]) as term),
+_MATCHES = f"""terms as (select unnest([{_list((*TERMS, *(w for w in WHITELIST if w not in TERMS)))}]) as term),
 parts as (select doc_id, lower(text) as t, term, string_split(lower(text), term) as g from documents, terms where contains(lower(text), term)),
 hits as (select doc_id, term, t, unnest(range(1, len(g))) as k, g from parts),
 lens as (select doc_id, term, unnest(g) as x, unnest(range(1, len(g) + 1)) as k, t from parts),
 ends as (select doc_id, term, t, k, sum(length(x)) over (partition by doc_id, term order by k) + (k - 1) * length(term) as b, count(*) over (partition by doc_id, term) as n from lens),
-matches as (select doc_id, term, cast(b as bigint) as "begin", cast(b + length(term) as bigint) as "end" from ends where k < n
-  and not regexp_matches(case when b > 0 then substr(t, cast(b as bigint), 1) else '' end, '[\\p{{L}}_+-]') and not regexp_matches(substr(t, cast(b + length(term) + 1 as bigint), 1), '[\\p{{L}}_+-]'))""".replace("\\\\", "\\").replace("hits as (select doc_id, term, t, unnest(range(1, len(g))) as k, g from parts),\n", "")
+every_match as (select doc_id, term, cast(b as bigint) as "begin", cast(b + length(term) as bigint) as "end" from ends where k < n
+  and not regexp_matches(case when b > 0 then substr(t, cast(b as bigint), 1) else '' end, '[\\p{{L}}_+-]') and not regexp_matches(substr(t, cast(b + length(term) + 1 as bigint), 1), '[\\p{{L}}_+-]')),
+matches as (select * from every_match where term in ({_list(TERMS)}))""".replace("\\\\", "\\").replace("hits as (select doc_id, term, t, unnest(range(1, len(g))) as k, g from parts),\n", "")
 
 
 @registered(f'with {_MATCHES} select doc_id, term, "begin", "end" from matches')
@@ -149,18 +158,18 @@ def longest_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.longest(_matches(spark, sf_dir))
 
 
-@registered(f"""with {_GRAMS}, n as (select doc_id, count(*) as n from segments where lang = 'en' group by doc_id),
-scored as (select doc_id, term, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams join n using (doc_id) where not contains(term, ' ') group by doc_id, term),
-regex as (select distinct doc_id, term from grams where term like 'the%' and not contains(term, ' ')),
-docs as (select doc_id from scored union select doc_id from regex),
-every as (select doc_id, term, score, 'idf' as origin, 1 as rank from scored union all select doc_id, w.term, -1.0, 'whitelist', 2 from docs, (select unnest([{_list(WHITELIST)}]) as term) w union all select doc_id, term, -2.0, 'regex', 3 from regex)
-select doc_id, term, arg_max(score, rank) as score, arg_max(origin, rank) as origin from every where term not in ({_list(BLACKLIST)}) and not regexp_full_match(term, '[0-9]+') group by doc_id, term""")
+@registered(f"""with {_GRAMS}, {_MATCHES}, n as (select doc_id, count(*) as n from segments group by doc_id),
+scored as (select doc_id, term, round(ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1, 4) as score from grams join n using (doc_id) group by doc_id, term),
+regex as (select distinct doc_id, term from grams where term like 'the%'),
+listed as (select distinct doc_id, term from every_match where term in ({_list(WHITELIST)})),
+every as (select doc_id, term, score, 'idf' as origin, 1 as rank from scored union all select doc_id, term, -1.0, 'whitelist', 2 from listed union all select doc_id, term, -2.0, 'regex', 3 from regex)
+select doc_id, term, arg_max(score, rank) as score, arg_max(origin, rank) as origin from every where term not in ({_list(BLACKLIST)}) and not regexp_full_match(term, '[0-9 _]+') group by doc_id, term""")
 def score_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which score a term keeps, with words that begin with "the" as the quoted ones."""
-    own = _segments(spark, sf_dir, "en")
-    scored = scoring.idf(own, None, 0, "document")
+    """Which score a term keeps, with runs of words that begin with "the" as the quoted ones."""
+    scored = scoring.idf(_segments(spark, sf_dir), None, LONGEST - 1, "document")
     regex = scored.filter(F.col("term").startswith("the")).select("doc_id", "term")
-    return scoring.precedence(scored.select("doc_id", "term", "score"), regex, _words(spark, WHITELIST), _words(spark, BLACKLIST))
+    listed = scoring.listed_terms(_table(spark, sf_dir, "documents"), _words(spark, WHITELIST))
+    return scoring.precedence(scored.select("doc_id", "term", "score"), regex, listed, _words(spark, BLACKLIST))
 
 
 def _definition_text() -> Column:
@@ -177,16 +186,21 @@ def quoted_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.quoted_term_spans(rows, Config().regex_terms, Config().regex_abbreviations)
 
 
-@registered(f"""select p_partkey as doc_id, upper(left(string_split(p_name, ' ')[1], 1)) || upper(left(string_split(p_name, ' ')[2], 1)) as short,
-upper(left(string_split(p_name, ' ')[1], 1)) || substr(string_split(p_name, ' ')[1], 2) || ' ' || upper(left(string_split(p_name, ' ')[2], 1)) || substr(string_split(p_name, ' ')[2], 2) as long from part
-where len(string_split(p_name, ' ')) = 2 and left(string_split(p_name, ' ')[1], 1) || left(string_split(p_name, ' ')[2], 1) not in ({_list(STOP_WORDS)})""")
+_INITIALS = "array_to_string(list_transform(w, lambda x: upper(left(x, 1))), '')"
+
+
+@registered(f"""with n as (select p_partkey as doc_id, string_split(p_name || case when p_partkey % 2 = 0 then ' of ' || lower(p_type) else '' end || case when p_partkey % 7 = 0 then ' plain old extra' else '' end, ' ') as w from part),
+kept as (select doc_id, list_filter(w, lambda x: x <> 'of') as w, list_transform(w, lambda x: case when x = 'of' then x else upper(left(x, 1)) || substr(x, 2) end) as shown from n)
+select distinct doc_id, {_INITIALS} as short, array_to_string(shown, ' ') as long from kept where len(w) between 2 and 5 and lower({_INITIALS}) not in ({_list(STOP_WORDS)})""")
 def abbreviation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Abbreviations of derived sentences: a name in capitals' initials, then the initials in brackets."""
-    name = F.initcap("p_name")
-    initials = F.array_join(F.transform(F.split(name, " "), lambda w: F.substring(w, 1, 1)), "")
-    rows = _table(spark, sf_dir, "part").filter(F.size(F.split("p_name", " ")) == 2)
-    rows = rows.select(F.col("p_partkey").alias("doc_id"), abbreviations.sentence_tokens(F.concat(name, F.lit(" ("), initials, F.lit(") is sold here."))).alias("tokens"))
-    return abbreviations.abbreviation_pairs(rows)
+    """Abbreviations of derived sentences: names of two to seven words in capitals, some with a stop word, then their initials in brackets."""
+    key = F.col("p_partkey")
+    name = F.concat("p_name", F.when(key % 2 == 0, F.concat(F.lit(" of "), F.lower("p_type"))).otherwise(""), F.when(key % 7 == 0, " plain old extra").otherwise(""))
+    words = F.split(name, " ")
+    shown = F.array_join(F.transform(words, lambda w: F.when(w == "of", w).otherwise(F.initcap(w))), " ")
+    initials = F.array_join(F.transform(F.filter(words, lambda w: w != "of"), lambda w: F.upper(F.substring(w, 1, 1))), "")
+    sentence = F.concat(F.lit("Here: "), shown, F.lit(" ("), initials, F.lit(") is sold."))
+    return abbreviations.abbreviation_pairs(_table(spark, sf_dir, "part").select(key.alias("doc_id"), abbreviations.sentence_tokens(sentence).alias("tokens")))
 
 
 _CASCADE = f"""{_SEGMENTS}, {_MATCHES},
@@ -200,13 +214,16 @@ near as (select doc_id, def_id, "begin", "end", term, stage from (select *, 2.0
   where exists (select 1 from dep d where d.doc_id = x.doc_id and d.def_id = x.def_id and d."begin" < x."end" and x."begin" < d."end"))"""
 
 
-def _cascade(spark: SparkSession, sf_dir: str, config: Config) -> DataFrame:
+def _cascade(spark: SparkSession, sf_dir: str, config: Config, said: bool = False) -> DataFrame:
     found = _matches(spark, sf_dir)
     defs = _segments(spark, sf_dir).select("doc_id", F.col("seg_id").alias("def_id"), "begin", "end")
     tok = found.filter(~F.col("term").isin("the", "der")).withColumn("score", F.when(F.col("term").isin(*WHITELIST), -1.0).otherwise(1.0))
     dep = found.filter(F.col("term").isin("the", "der"))
-    none = defs.select("doc_id", "def_id", F.lit("").alias("term"), "begin", "end").limit(0)
-    return defined.defined_terms(defs, tok, dep, none, config)
+    quoted = defs.select("doc_id", "def_id", F.lit("").alias("term"), "begin", "end").limit(0)
+    if said:
+        inside = spans.covered(defs, found.filter(F.col("term").isin(*QUOTED) & (F.col("begin") % 2 == 0)))
+        quoted = inside.select("doc_id", F.col("o_def_id").alias("def_id"), F.col("i_term").alias("term"), F.col("i_begin").alias("begin"), F.col("i_end").alias("end"))
+    return defined.defined_terms(defs, tok, dep, quoted, config)
 
 
 def _first_stage(rows: str) -> str:
@@ -225,6 +242,16 @@ def definition_cascade_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir, Config(use_regex=False, fallback_to_whitelist=True, fallback_to_tf_idf=True))
 
 
+_QUOTED_INSIDE = f"""(select * from inside where term in ({_list(QUOTED)}) and "begin" % 2 = 0)"""
+
+
+@registered(_first_stage(f"""select * from near union all select doc_id, def_id, "begin", "end", term, 1.5 from {_QUOTED_INSIDE}
+union all select doc_id, def_id, "begin", "end", term, 1.0 from {_QUOTED_INSIDE} x where exists (select 1 from dep d where d.doc_id = x.doc_id and d.def_id = x.def_id and d."begin" < x."end" and x."begin" < d."end")"""))
+def definition_cascade_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each line defines, quoted terms first, with their fallback."""
+    return _cascade(spark, sf_dir, Config(), said=True)
+
+
 @registered(_first_stage('select * from near union all select doc_id, def_id, "begin", "end", (case when m.t is null then \'\' else m.t end) as term, 4.0 from (select d.*, (select any_value(term) from matches k where k.doc_id = d.doc_id and k."begin" = d."begin" and k."end" = d."end" and k.term in (\'the\', \'der\')) as t from dep d) m'))
 def definition_cascade_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each line defines, a tagger's spans last."""
@@ -259,10 +286,26 @@ def remove_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.not_covered(_matches(spark, sf_dir), _segments(spark, sf_dir).filter("seg_id % 2 = 0"))
 
 
-@registered()
+def _strip_sql(x: str) -> str:
+    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def _clean_term_sql(x: str) -> str:
+    """The look-aheads of the patterns said as groups that are put back."""
+    out = rf"regexp_replace({_strip_sql(x)}, '^[.A-Za-z/]*?(\.+?\s)', '\1')"
+    out = _strip_sql(rf"regexp_replace({out}, '^[0-9./]*?(\.*?[\s*])', '\1')")
+    out = _strip_sql(rf"regexp_replace({out}, '^[*. ]+', '')")
+    return _strip_sql(rf"regexp_replace(regexp_replace({out}, '^\([-+*]\)\s*', ''), '^[*. ]+', '')")
+
+
+#: enumerations in front of terms
+_MARKS = ("1.1. ", "a. ", "(-) ", "* ", "12.1* ", "", "ii/b.. ", "(+)  ")
+
+
+@registered(f"with r as (select p_partkey, ([{', '.join(repr(m) for m in _MARKS)}])[1 + p_partkey % {len(_MARKS)}] || p_name as raw from part) select p_partkey, raw, {_clean_term_sql('raw')} as term from r")
 def clean_term(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enumerations taken off derived terms (no SQL: its patterns need look-ahead)."""
-    raw = F.concat((F.col("p_partkey") % 7).cast("string"), F.lit(".1. "), F.col("p_name"))
+    """Enumerations taken off derived terms."""
+    raw = F.concat(F.get(F.array(*(F.lit(m) for m in _MARKS)), (F.col("p_partkey") % len(_MARKS)).cast("int")), F.col("p_name"))
     return _table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"), T.clean_term(raw).alias("term"))
 
 
@@ -297,14 +340,15 @@ def of_which_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as sentences, their second and third words marked as a term."""
-    rows = _table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"), F.filter(F.split("text", r"\s+"), lambda t: t != "").alias("w"))
-    return rows.filter(F.size("w") > 3).select("sent_id", F.array_join(F.concat(F.slice("w", 1, 1), F.array(F.lit("★")), F.slice("w", 2, 2), F.array(F.lit("☆")), F.slice("w", 4, F.size("w"))), " ").alias("text"))
+    """Conversation turns as sentences; the second and third words of those of four words and more are marked as a term."""
+    rows = _table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"), F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda t: t != "").alias("w"))
+    marked = F.concat(F.slice("w", 1, 1), F.array(F.lit("★")), F.slice("w", 2, 2), F.array(F.lit("☆")), F.slice("w", 4, F.greatest(F.size("w"), F.lit(1))))
+    return rows.select("sent_id", F.array_join(F.when(F.size("w") > 3, marked).otherwise(F.col("w")), " ").alias("text"))
 
 
-_SENTENCES = r"""sentences as (select conv_id * 1000 + turn as sent_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') as w from conversations),
-tagged as (select sent_id, unnest(w) as token, unnest(range(len(w))) as pos from sentences where len(w) > 3),
-tags as (select sent_id, pos, token, case when pos = 1 then 'B' when pos = 2 then 'I' else 'O' end as tag from tagged)"""
+_SENTENCES = r"""sentences as (select conv_id * 1000 + turn as sent_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') as w from conversations),
+tagged as (select sent_id, unnest(w) as token, unnest(range(len(w))) as pos, len(w) as m from sentences),
+tags as (select sent_id, pos, token, case when m > 3 and pos = 1 then 'B' when m > 3 and pos = 2 then 'I' else 'O' end as tag from tagged)"""
 
 
 @registered(f"with {_SENTENCES} select sent_id, cast(pos as bigint) as pos, token, tag from tags")
@@ -520,23 +564,24 @@ def decide_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.decide_threshold(labels, related, _named_pairs(spark, sf_dir)).select(F.col("k").cast("long"), F.round("threshold", 6).alias("threshold"))
 
 
-@registered(f"""with {_SENTENCES}, p as (select sent_id, pos, case when pos = 1 then 'B' when pos = 2 and sent_id % 2 = 0 then 'I' when pos = 3 and sent_id % 5 = 0 then 'B' else 'O' end as tag from tags),
-s as (select sent_id, count(*) as m, max(pos) as last from tags group by sent_id),
+@registered(f"""with {_SENTENCES}, s as (select sent_id, max(pos) as last from tags group by sent_id having max(pos) > 2),
 x as (select count(*) as n_gold, sum(case when sent_id % 2 = 0 then 1 else 0 end) as tp, sum(1 + case when sent_id % 5 = 0 and last >= 3 then 1 else 0 end) as n_predicted from s)
 select cast(tp as bigint) as tp, cast(n_gold as bigint) as n_gold, cast(n_predicted as bigint) as n_predicted, round(tp / n_predicted, 6) as precision, round(tp / n_gold, 6) as recall, round(2.0 * tp / (n_gold + n_predicted), 6) as f1 from x""")
 def chunk_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Precision and recall of derived predictions by entity."""
     gold = bio.bio_tags(_sentences(spark, sf_dir))
     key, pos = F.col("sent_id"), F.col("pos")
-    said = F.when(pos == 1, "B").when((pos == 2) & (key % 2 == 0), "I").when((pos == 3) & (key % 5 == 0), "B").otherwise("O")
+    said = F.when(F.col("tag") == "B", "B").when((F.col("tag") == "I") & (key % 2 == 0), "I").when((pos == 3) & (key % 5 == 0), "B").otherwise("O")
     return evaluate.chunk_scores(gold, gold.withColumn("tag", said)).select("tp", "n_gold", "n_predicted", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
 
 
 def queries() -> dict[str, Query]:
     """Queries by name."""
+    importlib.import_module("termloom.plans.registry_parts")
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
+    importlib.import_module("termloom.plans.registry_parts")
     return dict(_sql)

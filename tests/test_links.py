@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import json
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -93,6 +95,48 @@ def test_annotated_documents(spark, tmp_path):
     assert [(r["user"], r["begin"], r["end"]) for r in readers.read_user_spans(spark, str(tmp_path / "*.xmi"), docs).collect()] == [("u1", 6, 11)]
 
 
+def test_requests_as_texts(spark, tmp_path):
+    """What comes in a column is read as files are; only the chosen view counts."""
+    rows = spark.createDataFrame([(1, XMI), (2, None), (3, "<x/>"), (4, XMI.replace("html2textView", "other"))], "doc_id long, xmi string")
+    docs, tags, users = readers.parse_xmi(rows, user_elements=("Token_user",))
+    assert [tuple(r) for r in docs.collect()] == [(1, "html2textView", "hello world")]
+    assert [(r["doc_id"], r["tag_name"], r["attributes"], r["begin"], r["end"]) for r in tags.collect()] == [(1, "p", "class='x'", 0, 5)]
+    assert [(r["doc_id"], r["user"], r["begin"], r["end"]) for r in users.collect()] == [(1, "u1", 6, 11)]
+    (tmp_path / "b.xmi").write_text(XMI.replace('user="u1" datetime="now" sofa="9"', 'user="u1" datetime="now" sofa="8"'))
+    of_files, _ = readers.read_xmi(spark, str(tmp_path / "*.xmi"))
+    assert readers.read_user_spans(spark, str(tmp_path / "*.xmi"), of_files).count() == 0
+
+
+def test_service(spark, tmp_path):
+    """A request is answered with its text annotated; a broken one comes back as it was."""
+    text = "The own funds of a bank are its capital. A bank is here."
+    xmi = XMI.replace("hello world", text).replace('begin="0" end="5" tagName="p" attributes', f'begin="0" end="{len(text)}" tagName="p" attributes')
+    body = json.dumps({"cas_content": base64.b64encode(xmi.encode()).decode(), "content_type": "html"})
+    bodies = spark.createDataFrame([(body,), (json.dumps({"cas_content": "?", "content_type": "x"}),)], "value string")
+    lists = spark.createDataFrame([("bank",), ("capital",)], "term string")
+    answers = pipeline.answer_requests(bodies, lists, lists.filter("term = 'capital'"), store=pipeline.stored_in(str(tmp_path))).collect()
+    got = {json.loads(r["value"])["content_type"]: json.loads(r["value"])["cas_content"] for r in answers}
+    assert got["x"] == "?"
+    tree = ElementTree.fromstring(base64.b64decode(got["html"]))
+    tokens = [(e.get("term"), int(e.get("begin")), int(e.get("end"))) for e in tree if e.tag.endswith("Tfidf")]
+    assert all(text[b:e].lower() == t for t, b, e in tokens)
+    assert {("bank", b, b + 4) for b in (19, 43)} <= set(tokens) and "capital" not in {t for t, *_ in tokens}
+
+
+def test_rdf_files(spark, tmp_path):
+    (tmp_path / "a.ttl").write_text('@prefix s: <http://s#> . @base <http://e/> .\n<a> a s:C ; s:l "x;y"@en , \'\'\'two\nlines\'\'\' ; s:n 1.5 , true , [ s:k s:a.b ] . # end.\n<b> s:list ( <a> "z" ) .')
+    (tmp_path / "b.rdf").write_text('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:s="http://s#" xml:lang="fr"><s:C rdf:about="http://e/a"><s:l xml:lang="en">x;y</s:l><s:l>été</s:l><s:r rdf:resource="http://e/b"/><s:n><rdf:Description s:k="v"/></s:n></s:C></rdf:RDF>')
+    turtle = {(r["s"], r["p"][9:], r["o"], r["o_lang"]) for r in readers.read_rdf(spark, str(tmp_path / "*.ttl")).collect() if r["p"].startswith("http://s#")}
+    assert {x for x in turtle if not x[0].startswith("_:") and not x[2].startswith("_:")} == {("http://e/a", "l", "x;y", "en"), ("http://e/a", "l", "two\nlines", None), ("http://e/a", "n", "1.5", None), ("http://e/a", "n", "true", None)}
+    assert {x[1:] for x in turtle if x[0].startswith("_:")} == {("k", "http://s#a.b", None)}
+    xml = {(r["p"].split("#")[1], r["o"], r["o_is_literal"], r["o_lang"]) for r in readers.read_rdf(spark, str(tmp_path / "*.rdf")).collect() if not r["o"].startswith("_:")}
+    assert xml == {("type", "http://s#C", False, None), ("l", "x;y", True, "en"), ("l", "été", True, "fr"), ("r", "http://e/b", False, None), ("k", "v", True, "fr")}
+    (tmp_path / "c.nt").write_text('<http://a> <http://p> "x" .\n\n# note\nno triple\n')
+    assert readers.read_triples(spark, str(tmp_path / "c.nt"), broken="drop").count() == 1
+    with pytest.raises(Exception, match="no triple"):
+        readers.read_triples(spark, str(tmp_path / "c.nt")).collect()
+
+
 def test_small_sources(spark, tmp_path):
     (tmp_path / "list.txt").write_text("means\n\nshall\n")
     assert [r["term"] for r in readers.read_list(spark, str(tmp_path / "list.txt")).collect()] == ["means", "shall"]
@@ -116,9 +160,15 @@ def test_sinks(spark, tmp_path):
     again = readers.read_tag_table(spark, str(tmp_path / "bio"))
     assert sorted((r["sentence"], r["token"], r["tag"]) for r in again.collect()) == [("Sentence: 1", "a", "B"), ("Sentence: 1", "b", "I"), ("Sentence: 2", "c", "O")]
     spans = spark.createDataFrame([(1, 0, 3, "abc")], "doc_id long, begin long, end long, term string")
-    requests = spark.createDataFrame([(1, "html"), (2, "pdf")], "doc_id long, content_type string")
-    out = {r["doc_id"]: json.loads(r["value"]) for r in writers.responses(spans, requests).collect()}
-    assert out[1]["content_type"] == "html" and out[2]["content_type"] == "pdf"
+    requests = spark.createDataFrame([(1, "c1", "html", XMI), (2, "c2", "pdf", None), (3, "c3", "x", "<no><view/></no>")], "doc_id long, cas_content string, content_type string, xmi string")
+    out = {r["doc_id"]: json.loads(r["value"]) for r in writers.responses(requests, {"defined": spans, "token": spans.withColumn("term", F.lit('<"&'))}).collect()}
+    assert out[1]["content_type"] == "html" and out[2] == {"cas_content": "c2", "content_type": "pdf"}
+    assert base64.b64decode(out[3]["cas_content"]).decode() == "<no><view/></no>"
+    tree = ElementTree.fromstring(base64.b64decode(out[1]["cas_content"]))
+    added = {e.tag.split("}")[1]: dict(e.attrib) for e in tree if "termloom" in e.tag}
+    assert added["Token"]["begin"] == "0" and added["Tfidf"]["term"] == '<"&' and added["Tfidf"]["sofa"] == "9"
+    ids = [v for e in tree for k, v in e.attrib.items() if k.endswith("}id")]
+    assert len(ids) == len(set(ids)) == 7
     pairs = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.9)], "query string, match string, sim double")
     assert writers.response_map(pairs).first()["matches"] == ["c", "b"]
     writers.write_annotated(spark.createDataFrame([("d", ["t"], "m")], "text string, terms array<string>, annotated string"), str(tmp_path / "an"))

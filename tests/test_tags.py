@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termloom.operators import bio, evaluate
 from termloom.operators.matching import flexible_matches
 
+# Tokens, their tags, and both after merging.
 PIECES = [
     ("Test swap ##tion ' means", "O B O O O", ["Test", "swaption", "'", "means"], ["O", "B", "O", "O"]),
     ("Test swap ##tion ' means", "O B I O O", ["Test", "swaption", "'", "means"], ["O", "B", "O", "O"]),
@@ -34,6 +35,7 @@ def test_runs(spark):
     assert got == [(0, 0, 5, "start"), (0, 20, 38, "position start end"), (0, 48, 57, "start end"), (1, 29, 34, "start")]
 
 
+# Tagged sentences and the spans that they give.
 FOUND = [
     ("swaption-shops are swaption    --- shops (swaption () shops)  swaption.shops swaption.shops- swaption shops. swaption? shops swaption^shops swaption - shops", "swaption - shops", [(0, 14), (140, 156)]),
     ("swaption.shops are swaption    --- shops (swaption () shops)  swaption.shopsss swaption.shops- swaption shops. swaption? shops swaption^shops swaption . shops", "swaption . shops", [(0, 14), (79, 93), (142, 158)]),
@@ -93,3 +95,28 @@ def test_sampled_pairs(spark):
     assert same.count() == 5 and {r["label"] for r in same.collect()} == {1}
     assert same.collect() == evaluate.sampled_pairs(labels, 5, seed=1).collect()
     assert evaluate.balanced_pairs(labels, 4).select(F.sum("label")).first()[0] == 4
+
+
+def test_whole_tables_are_filled_in_strides(spark, monkeypatch):
+    monkeypatch.setattr(bio, "STRIDE", 7)
+    rows = [(k, f"s{k}" if k % 23 == 3 else "", k % 2) for k in range(200)]
+    df = spark.createDataFrame(rows, "i long, x string, g int")
+    last, want = None, {}
+    for k, x, _ in rows:
+        last = x or last
+        want[k] = last
+    assert {r["i"]: r["x"] for r in bio.forward_fill(df, "x", "i").collect()} == {k: v if v is not None else None for k, v in want.items()}
+    by = {(r["g"], r["i"]): r["x"] for r in bio.forward_fill(df, "x", "i", ["g"], strided=True).collect()}
+    assert by == {(r["g"], r["i"]): r["x"] for r in bio.forward_fill(df, "x", "i", ["g"]).collect()}
+
+
+def test_draws_and_splits(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(300)], "k string")
+    again = [r["k"] for r in evaluate.drawn(df, 400, 1, "k", replacement=True).orderBy("draw").collect()]
+    assert len(again) == 400 and len(set(again)) < 300 and again == [r["k"] for r in evaluate.drawn(df.repartition(7), 400, 1, "k", replacement=True).orderBy("draw").collect()]
+    assert again != [r["k"] for r in evaluate.drawn(df, 400, 2, "k", replacement=True).orderBy("draw").collect()]
+    once = [r["k"] for r in evaluate.drawn(df, 50, 1, "k").collect()]
+    assert len(once) == len(set(once)) == 50
+    assert evaluate.drawn(df.limit(0), 5, 1, "k", replacement=True).count() == 0
+    train, valid = evaluate.split(df, 0.2, 1, "k")
+    assert train.count() + valid.count() == 300 and 20 < valid.count() < 110 and train.join(valid, "k").count() == 0

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from termloom.config import Config
+from termloom.functions import text
 from termloom.operators import abbreviations, defined, matching, scoring, spans, tables
 from termloom.plans import pipeline
 
+# Definitions, their spans and what each setting of the cascade finds.
 DEFINITIONS = ["'this' or 'that this' means something this", "this or that and 'more'", "some sentence", ""]
 TOKENS = [("this", 1, 5, -2.0), ("this", 16, 20, -2.0), ("this", 38, 42, -2.0), ("this", 43, 47, -2.0), ("that this", 11, 20, -2.0), ("more", 61, 65, -2.0), ("that", 51, 55, -1.0), ("that and", 51, 59, -1.0), ("something", 28, 37, 0.23), ("some", 67, 71, 0.74), ("some sentence", 67, 80, 0.72)]
 SOME, EXTRA = [(16, 20)], [(16, 20), (52, 54), (67, 71)]
@@ -172,3 +175,22 @@ def test_concept_extraction(spark):
     assert scores["own funds"] == "regex" and scores["capital buffer"] == "whitelist" and "banks" not in scores
     assert sorted((r["begin"], r["end"]) for r in got["token"].filter("term = 'own funds'").collect()) == [(1, 10), (77, 86)]
     assert [(r["begin"], r["end"]) for r in got["defined"].collect()] == [(1, 10)]
+
+
+def test_spans_in_buckets_and_longest(spark, monkeypatch):
+    rng = random.Random(12)
+    rand = lambda n: [(rng.randrange(3), b, b + rng.choice((0, 1, 5, 40))) for b in (rng.randrange(200) for _ in range(n))]
+    a, b = rand(150), rand(60)
+    monkeypatch.setattr(spans, "BUCKET", 16)
+    x, y = (spark.createDataFrame(r, "doc_id long, begin long, end long") for r in (a, b))
+    for way in (spans.overlapping, spans.not_covered):
+        assert sorted(map(tuple, way(x, y).collect())) == sorted(map(tuple, way(x, y, bucketed=True).collect()))
+    inside = lambda s, o: o[0] == s[0] and o[1] <= s[1] and o[2] >= s[2] and o != s
+    assert sorted(map(tuple, spans.longest(x).collect())) == sorted(s for s in a if not any(inside(s, o) for o in a))
+    assert sorted(map(tuple, spans.longest(x, y).collect())) == sorted(s for s in a if not any(inside(s, o) for o in b))
+
+
+def test_offsets_of_long_arrays(spark):
+    lengths = [[], [3], list(range(200)), [1] * 64, [2] * 65, [5] * 5000]
+    got = spark.createDataFrame([(x,) for x in lengths], "x array<long>").select(text.running_totals(F.col("x")).alias("t")).collect()
+    assert [r["t"] for r in got] == [[sum(x[:k]) for k in range(len(x))] for x in lengths]

@@ -27,6 +27,7 @@ def test_boundaries(spark, text, begin, last, special, expected):
     assert values(spark, [(text, begin, last + 1)], "t string, b long, e long", T.is_bounded(F.col("t"), F.col("b"), F.col("e"), tuple(special))) == [expected]
 
 
+# Sentences and the quoted terms that they hold.
 QUOTED = [
     ("test sentence 'term'", [("term", 15, 19)]),
     ("test •term • •term• and 'AA' sentence", [("aa", 25, 27), ("term", 14, 18)]),
