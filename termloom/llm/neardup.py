@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.filters import merged_pages
 from termloom.llm.graph import components
-from termloom.llm.shared import discard, small_batches, unused, written
+from termloom.llm.shared import discard, give_back, small_batches, unused, written
 from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, text_buffer, words_of
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 12, 4, 0.8
@@ -83,6 +83,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
             pack = zstandard.ZstdCompressor(level=1).compress
             pages = [pack(p.tobytes()) for p in cells.astype(np.int64).reshape(-1, PAGE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(pages)), pa.int64()), pa.array([pack(np.array([n]).tobytes()), *pages], pa.binary())], ["page", "counts"])
+        give_back()
 
     def add(values: pd.Series) -> bytes:
         total: np.ndarray | int = 0
@@ -180,6 +181,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 for r in range(j - i):
                     lists[first[i + r]] = made[r].tolist() if there[r] else []
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h1"), b.column("h2"), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "h1", "h2", "bands"])
+        give_back()
 
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(11), "text").alias("h2"))
     return rows.mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>")
@@ -205,6 +207,7 @@ def prefixes(texts: DataFrame, idf, similar: float) -> DataFrame:
                 before = run_ - run_[np.minimum(first, max(len(run_) - 1, 0))][row]
                 keep = before <= (1 - similar + 1e-6) * total[row]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row[keep] + i]), pa.array(h[keep].view(np.int64)), pa.array(before[keep]), pa.array(total[row[keep]])], ["node", "shingle", "before", "total"])
+        give_back()
 
     return texts.mapInArrow(run, "node long, shingle long, before double, total double")
 
@@ -237,6 +240,7 @@ def similarities(pairs: DataFrame, idf) -> DataFrame:
                 out[s : s + m] = common / np.maximum(total[:m] + total[m:] - common, 1e-12)
                 s += m
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out)], ["a", "b", "similarity"])
+        give_back()
 
     return pairs.mapInArrow(run, "a long, b long, similarity double")
 
