@@ -78,16 +78,21 @@ def licence_words(docs: DataFrame) -> DataFrame:
 
 
 def phrase_places(found: Column, words: str) -> Column:
-    """Where a phrase begins, of the places found: all its words that are looked up stand where they should."""
+    """Where a phrase begins, of the places found: all its words that are looked up stand where they should.
+
+    As many places as the phrase is long come into question for each of them, so the work is linear in the places found.
+    """
     parts = rare_words(words) if any(w in COMMON for w in words.split()) else list(enumerate(words.split()))
     (skip, first), rest = parts[0], parts[1:]
+    span = parts[-1][0] - skip
 
-    def fits(x: Column) -> Column:
-        stands = lambda i, w: F.exists(found, lambda y: (y["at"] == x["at"] + (i - skip)) & (y["word"] == w))
-        others = [stands(i, w) for i, w in rest]
-        return reduce(lambda a, b: a & b, others, x["word"] == first)
+    def fits(k: Column) -> Column:
+        own, near = F.get(found, k), F.slice(found, k + 1, span + 1)
+        stands = lambda i, w: F.exists(near, lambda y: (y["at"] == own["at"] + (i - skip)) & (y["word"] == w))
+        return reduce(lambda a, b: a & b, [stands(i, w) for i, w in rest], own["word"] == first)
 
-    return F.transform(F.filter(found, fits), lambda x: x["at"] - skip)
+    places = F.transform(F.filter(F.sequence(F.lit(0), F.size(found) - 1), fits), lambda k: F.get(found, k)["at"] - skip)
+    return F.when(F.size(found) > 0, places).otherwise(F.array().cast("array<long>"))
 
 
 def adjacent_places(found: Column, words: str) -> Column:
