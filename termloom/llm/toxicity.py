@@ -8,8 +8,9 @@
 3. **Classifier.** Ridge logistic regression on the votes and their density is trained on the posterior labels, then scores every
    whole text with array operations.
 
-The model is fitted on a bounded sample, `sample` rows each of toxic, clean and unlabelled training texts in the order of a hash of
-their id; scoring covers all rows.  Without labels the fixed lexicon's prior accuracies stand.
+The model is fitted on a bounded sample, `sample` texts each of toxic, clean and unlabelled training rows in the order of a hash of
+their id, one text an id, and has MOST_STEMS stems at most, those that most toxic texts hold; scoring covers all rows.  Without labels the fixed
+lexicon's prior accuracies stand.
 
 Defined results: a null or empty text gets the score of a text without votes; rows without doc_id are scored, never learnt from; repeated
 rows repeat; an empty table gives no rows.
@@ -289,10 +290,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = known.filter(remainder("doc_id", 3) != 1)
     spread = F.xxhash64("doc_id", F.lit(5))
     picked = [known.filter(F.col("toxic") == y).orderBy(spread).limit(sample).select("doc_id", F.col("toxic").alias("known")) for y in (1, 0)]
-    others = docs.select("doc_id").filter("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti").orderBy(spread).limit(sample).select("doc_id", F.lit(-1).alias("known"))
+    others = docs.select("doc_id").filter("doc_id is not null").filter(remainder("doc_id", 3) != 1).distinct().join(known.select("doc_id"), "doc_id", "left_anti").orderBy(spread).limit(sample).select("doc_id", F.lit(-1).alias("known"))
     ids = picked[0].unionByName(picked[1]).unionByName(others)
     # at most 3 * sample ids: a proven bound
-    drawn = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").persist()
+    drawn = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("known").alias("known"), F.min("text").alias("text")).persist()
     try:
         kept = docs.sparkSession.createDataFrame(pd.DataFrame({"doc_id": np.array(without_copies(drawn), dtype=np.int64)}), "doc_id long")
         rows = drawn.join(F.broadcast(kept), "doc_id").select("text", "known")
