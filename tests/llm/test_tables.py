@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import corpus
+from tests.llm import test_documents as brute
 from termloom.llm import ann, chat, graph, queries, shared, urls
 
 
@@ -172,6 +173,39 @@ def test_pipeline(spark, folder):
         assert nothing.count() == 0
 
 
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Toxic documents, near copies, repeated and benchmark passages, each stage held against a plain version of it."""
+    rng = random.Random(51)
+    rows = [list(r) for r in corpus.rows()]
+    item = corpus.prose(rng, 30)
+    rows += [[3000 + k, corpus.prose(rng, 40), "en", "s", 1, "x", "x"] for k in range(300)]
+    rows += [[4000 + k, corpus.prose(rng, 20) + " " + item + " " + corpus.prose(rng, 9), "en", "s", 1, "x", "x"] for k in range(4)]
+    toxic = {r[0] for r in rows[-304:-4] if rng.random() < 0.2}
+    for r in rows:
+        if r[0] in toxic:
+            r[1] += " you idiot scum, filth and trash"
+    spark.createDataFrame([tuple(r) for r in rows], corpus.DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(r[0], 1, int(r[0] in toxic)) for r in rows if r[0] is not None and r[0] >= 3000], "doc_id long, quality int, toxic int").distinct().write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, after = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = shared.written(spark, stage(spark, docs, str(tmp_path)), "stage")
+        after.append([tuple(r) for r in docs.collect()])
+    assert {r[0] for r in after[0]} == {r[0] for r in rows} - toxic
+    classes, _ = brute.brute_classes(after[0])
+    assert {r[0] for r in after[1]} == {None} | {k for k, v in classes.items() if k == v}
+    cut = brute.brute_cut(after[1])
+    for r in after[2]:
+        words = corpus.words(r[1])
+        n, gone, sha = cut[r[0]][0]
+        assert len(words) == n - gone and hashlib.sha256(" ".join(words).encode()).hexdigest() == sha
+        assert not gone or r[4] == len(r[1])
+    held = item.split()
+    dirty = {r[0] for r in after[2] if any(corpus.words(r[1])[k : k + 30] == held for k in range(len(corpus.words(r[1]))))}
+    assert dirty and {r[0] for r in after[3]} == {r[0] for r in after[2]} - dirty
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {r[0] for r in after[3]}
+
+
 def test_queries_are_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
