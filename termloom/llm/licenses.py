@@ -80,15 +80,18 @@ def licence_words(docs: DataFrame) -> DataFrame:
 def phrase_places(found: Column, words: str) -> Column:
     """Where a phrase begins, of the places found: all its words that are looked up stand where they should.
 
-    As many places as the phrase is long come into question for each of them, so the work is linear in the places found.
+    As many places as the phrase is long come into question for each of them, one by one, so the work is linear in the places found.
     """
     parts = rare_words(words) if any(w in COMMON for w in words.split()) else list(enumerate(words.split()))
     (skip, first), rest = parts[0], parts[1:]
-    span = parts[-1][0] - skip
 
     def fits(k: Column) -> Column:
-        own, near = F.get(found, k), F.slice(found, k + 1, span + 1)
-        stands = lambda i, w: F.exists(near, lambda y: (y["at"] == own["at"] + (i - skip)) & (y["word"] == w))
+        own = F.get(found, k)
+
+        def stands(i: int, w: str) -> Column:
+            after = [F.get(found, k + d) for d in range(1, i - skip + 1)]
+            return F.coalesce(reduce(lambda a, b: a | b, [F.coalesce((y["at"] == own["at"] + (i - skip)) & (y["word"] == w), F.lit(False)) for y in after]), F.lit(False))
+
         return reduce(lambda a, b: a & b, [stands(i, w) for i, w in rest], own["word"] == first)
 
     places = F.transform(F.filter(F.sequence(F.lit(0), F.size(found) - 1), fits), lambda k: F.get(found, k)["at"] - skip)
