@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -182,24 +182,36 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\b\w\w+\b"), 0)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often the body's lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 #: elements that are summed together by running_totals
-STRIDE = 64
+STRIDE = 32
 
 
 def running_totals(lengths: Column) -> Column:
-    """What stands before each element of an array<long> in total: sums of strides first, so the work grows little faster than the array."""
+    """What stands before each element of an array<long> in total: sums of strides first, so the work grows little faster than the array.
+
+    Elements are taken one by one, for a slice inside a lambda would copy the whole array.
+    """
     zero = F.lit(0).cast("long")
     none = F.array().cast("array<bigint>")
-    n = F.size(lengths)
 
     def before(values: Column, start: Column) -> Column:
         """Totals before each value, from start on."""
         first = F.struct(start.alias("total"), none.alias("out"))
         return F.aggregate(values, first, lambda a, x: F.struct((a["total"] + x).alias("total"), F.concat(a["out"], F.array(a["total"])).alias("out")))["out"]
 
-    strides = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STRIDE).cast("int")), lambda k: F.slice(lengths, k * STRIDE + 1, STRIDE))
-    starts = before(F.transform(strides, lambda x: F.aggregate(x, zero, lambda s, v: s + v)), zero)
-    return F.when(n > 0, F.flatten(F.zip_with(strides, starts, before))).otherwise(none)
+    def totals(x: Column) -> Column:
+        n = F.size(x)
+        within = lambda k: F.transform(F.sequence(k * STRIDE, F.least(k * STRIDE + STRIDE - 1, n - 1)), lambda i: F.get(x, i))
+        strides = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STRIDE).cast("int")), within)
+        sums = lambda s: F.transform(s, lambda v: F.aggregate(v, zero, lambda a, y: a + y))
+        return F.when(n > 0, let(strides, lambda s: F.flatten(F.zip_with(s, before(sums(s), zero), before)))).otherwise(none)
+
+    return let(lengths, totals)
 
 
 def regex_spans(text: Column, pattern: Column) -> Column:
@@ -207,8 +219,8 @@ def regex_spans(text: Column, pattern: Column) -> Column:
     m, g = F.regexp_extract_all(text, pattern, 0), F.split(text, pattern, -1)
     size = lambda x: F.coalesce(F.length(x).cast("long"), F.lit(0).cast("long"))
     steps = F.zip_with(m, F.slice(g, 1, F.size(m)), lambda x, between: F.struct(x.alias("match"), size(between).alias("gap"), size(x).alias("n")))
-    totals = running_totals(F.transform(steps, lambda x: x["gap"] + x["n"]))
-    return F.zip_with(steps, totals, lambda x, t: F.struct(x["match"].alias("match"), (t + x["gap"]).alias("begin"), (t + x["gap"] + x["n"]).alias("end")))
+    placed = lambda x, t: F.struct(x["match"].alias("match"), (t + x["gap"]).alias("begin"), (t + x["gap"] + x["n"]).alias("end"))
+    return let(steps, lambda s: F.zip_with(s, running_totals(F.transform(s, lambda x: x["gap"] + x["n"])), placed))
 
 
 def quoted_terms(text: Column, terms: str, abbreviations: str) -> Column:
