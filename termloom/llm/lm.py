@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import bucketed, discard, give_back, small_batches, written
+from termloom.llm.shared import MOST_BUCKETS, bucketed, discard, give_back, small_batches, written
 from termloom.llm.tokens import U, Words, blocks, byte_table, mix, spaces, text_buffer
 
 #: weight of the shorter context after one and two words
@@ -505,6 +505,6 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
         return out
 
     asked = dealt.groupBy("chunk").applyInArrow(send, "shard int, chunk int, asked binary")
-    told = bucketed(spark, asked.groupBy("shard").applyInArrow(serve, "chunk int, shard int, told binary"), "told", "chunk", n_parts)
+    told = bucketed(spark, asked.repartition(min(MOST_BUCKETS, n_parts), "shard").groupBy("shard").applyInArrow(serve, "chunk int, shard int, told binary"), "told", "chunk", n_parts)
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(sum_up, schema)
