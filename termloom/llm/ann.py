@@ -227,8 +227,8 @@ def search(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20)
         return rows.select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     blocks = int(np.clip(1 / width(nodes, asked, curves, cuts, k), 3, MOST_BLOCKS))
     edges = {o: c[[round(QUANTILES * i / blocks) - 1 for i in range(1, blocks)]] for o, c in cuts.items()}
-    edge_map = F.create_map(*[F.lit(x) for o, c in edges.items() for x in (o, F.array(*[F.lit(int(y)) for y in c]))])
-    block = F.size(F.filter(F.element_at(edge_map, F.col("ordering")), lambda c: c < F.col("key")))
+    edge_lists = F.expr(f"array({', '.join('array(' + ', '.join(f'{y}L' for y in edges[o]) + ')' for o in range(ORDERINGS))})")
+    block = F.size(F.filter(F.get(edge_lists, F.col("ordering")), lambda c: c < F.col("key")))
     low = F.greatest(F.lit(0), F.least(F.col("block") - 1, F.lit(blocks - 3)))
     data = data.withColumn("block", block).drop("key")
     asked = keyed(asked, curves, True).withColumn("block", block).drop("key").withColumn("block", F.explode(F.sequence(low, low + 2)))
@@ -236,12 +236,13 @@ def search(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20)
     count = lambda df, most: df.groupBy("ordering", "block").agg(F.ceil(F.count("*") / most).cast("int").alias("n"))
     sizes = count(data, CHUNK).withColumnRenamed("n", "parts").join(count(asked, ASKED).withColumnRenamed("n", "shares"), ["ordering", "block"])
     sizes = {(r["ordering"], r["block"]): (r["parts"], r["shares"]) for r in sizes.collect()}
-    grid = F.create_map(*[F.lit(x) for (o, b), (p, s) in sizes.items() for x in (o * blocks + b, F.struct(F.lit(p).alias("parts"), F.lit(s).alias("shares")))]) if sizes else None
-    split = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    place = lambda df: df.withColumn("g", F.element_at(grid, F.col("ordering") * blocks + F.col("block"))).filter("g is not null")
-    data = place(data).withColumn("part", split(F.col("g.parts"))).withColumn("share", every(F.col("g.shares"))).drop("g")
-    asked = place(asked).withColumn("share", split(F.col("g.shares"))).withColumn("part", every(F.col("g.parts"))).drop("g")
+    grid = [F.expr(f"array({', '.join(str(sizes.get((o, b), (0, 0))[k]) for o in range(ORDERINGS) for b in range(blocks))})") for k in (0, 1)]
+    split = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # ranges without vectors or without queries have no parts
+    place = lambda df: df.withColumns({n: F.get(x, F.col("ordering") * blocks + F.col("block")) for n, x in zip(("parts", "shares"), grid, strict=True)}).filter("parts > 0")
+    data = place(data).withColumn("part", split("parts")).withColumn("share", every("shares")).drop("parts", "shares")
+    asked = place(asked).withColumn("share", split("shares")).withColumn("part", every("parts")).drop("parts", "shares")
     keep = k + 1
 
     def near(_: tuple, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:

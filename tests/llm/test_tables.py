@@ -140,13 +140,13 @@ def test_neighbours(spark, n):
 
 
 def test_neighbours_without_structure(spark):
-    x = np.random.default_rng(10).standard_normal((1500, 32))
+    x = np.random.default_rng(10).standard_normal((800, 32))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
     for r in ann.search(spark, df, F.col("vec_id") % 20 == 0).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
-    near = {q: set(np.argsort(-np.where(np.arange(1500) == q, -9, x @ x[q]))[:20].tolist()) for q in range(0, 1500, 20)}
+    near = {q: set(np.argsort(-np.where(np.arange(800) == q, -9, x @ x[q]))[:20].tolist()) for q in range(0, 800, 20)}
     assert np.mean([len(got[q] & near[q]) / 20 for q in near]) >= 0.9
 
 
