@@ -92,6 +92,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def buckets_for(df: DataFrame) -> int:
+    """Buckets for tables made of df: the session's shuffle partitions, but few for inputs that Spark knows to be small."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return n if size >= 64 << 20 else min(n, 4 + size // (2 << 20))
+
+
 def bucketed(spark: SparkSession, df: DataFrame, name: str, by: str, buckets: int | None = None) -> DataFrame:
     """df as a table in the shared folder in buckets by a column, sorted by it: joins and groups on that column need no shuffle.
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.filters import bloom, held
-from termloom.llm.shared import bucketed, discard, small_batches, written
+from termloom.llm.shared import bucketed, buckets_for, discard, small_batches, written
 from termloom.llm.tokens import BLOCK, U, Words, blocks, byte_table, mix, spaces, text_buffer, words_of
 
 WIDTH, GRAM = 50, 16
@@ -177,19 +177,19 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 class FingerprintIndex:
     """Sorted runs of anchors and of windows in the shared folder; `add` takes batches in the order of their doc_ids."""
 
-    def __init__(self, spark: SparkSession, width: int = WIDTH, fan_in: int = FAN_IN) -> None:
-        self.spark, self.width, self.fan_in = spark, width, fan_in
+    def __init__(self, spark: SparkSession, width: int = WIDTH, fan_in: int = FAN_IN, buckets: int | None = None) -> None:
+        self.spark, self.width, self.fan_in, self.buckets = spark, width, fan_in, buckets
         self.anchors: list[Run] = []
         self.windows: list[Run] = []
         self.most: int | None = None
 
     def _anchors_merged(self, rows: DataFrame) -> DataFrame:
         merged = rows.groupBy("hash").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-        return bucketed(self.spark, merged, "anchors", "hash")
+        return bucketed(self.spark, merged, "anchors", "hash", self.buckets)
 
     def _windows_merged(self, rows: DataFrame) -> DataFrame:
         merged = rows.groupBy("h", "v").agg(F.min("doc_id").alias("doc_id"))
-        return bucketed(self.spark, merged, "windows", "h")
+        return bucketed(self.spark, merged, "windows", "h", self.buckets)
 
     def _shared(self, run: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(hash) of the run's anchors that two documents have, and (doc_id) of the earlier ones that had one of these alone."""
@@ -214,7 +214,7 @@ class FingerprintIndex:
         shared = written(spark, shared, "shared")
         flags, bits = bloom(spark, shared)
         sent = spark.sparkContext.broadcast(flags.tobytes())
-        rows = bucketed(spark, window_rows(docs, sent, bits, self.width), "window_rows", "h")
+        rows = bucketed(spark, window_rows(docs, sent, bits, self.width), "window_rows", "h", self.buckets)
         open_ = rows.filter("stop is null")
         known = open_.select("h", "v", "doc_id")
         if history is not None and self.anchors:
@@ -270,7 +270,7 @@ def batches_of(docs: DataFrame, n: int) -> list[tuple[DataFrame, DataFrame]]:
 def covered(spark: SparkSession, docs: DataFrame, width: int = WIDTH, batches: int = BATCHES) -> DataFrame:
     """(doc_id, crc, at, stop): stretches of words that repeat smaller documents of docs, which go through an index batch by batch."""
     small_batches(spark)
-    index, spans = FingerprintIndex(spark, width), []
+    index, spans = FingerprintIndex(spark, width, buckets=buckets_for(docs)), []
     own = batches_of(docs, batches)
     for k, (batch, before) in enumerate(own):
         spans.append(index.add(batch, before))
