@@ -24,8 +24,7 @@ def long_form(tokens: Column, i: Column) -> Column:
     upper = lambda c: c.rlike(r"^\p{Lu}$")
 
     def skips(p: Column, c: Column) -> Column:
-        w = word(p)
-        return F.coalesce((F.substring(w, 1, 1) != c) & (w.isin(stop) | (w == "’") | w.startswith("(")), F.lit(False))
+        return T.let(word(p), lambda w: F.coalesce((F.substring(w, 1, 1) != c) & (w.isin(stop) | (w == "’") | w.startswith("(")), F.lit(False)))
 
     def step(acc: Column, x: Column) -> Column:
         j, c = x["j"], x["c"]
@@ -33,16 +32,23 @@ def long_form(tokens: Column, i: Column) -> Column:
         # how many places in a row are skipped, from p backwards
         back = F.filter(F.sequence(F.lit(0), F.greatest(p, F.lit(0))), lambda n: ~skips(p - n, c))
         skipped = F.when(upper(c) & (p >= 0), F.coalesce(F.array_min(back), p + 1)).otherwise(F.lit(0))
-        k = acc["k"] + skipped
-        q = place(j, k)
-        fits = (q >= 0) & (~upper(c) | (F.lower(F.substring(word(q), 1, 1)) == F.lower(c)))
-        return F.struct(k.cast("int").alias("k"), (acc["ok"] & F.coalesce(fits, F.lit(False))).alias("ok"))
+
+        def passed(k: Column) -> Column:
+            q = place(j, k)
+            fits = (q >= 0) & (~upper(c) | (F.lower(F.substring(word(q), 1, 1)) == F.lower(c)))
+            return F.struct(k.alias("k"), (acc["ok"] & F.coalesce(fits, F.lit(False))).alias("ok"))
+
+        return T.let((acc["k"] + skipped).cast("int"), passed)
 
     indexed = F.transform(letters, lambda c, j: F.struct(c.alias("c"), j.alias("j")))
     end = F.aggregate(indexed, F.struct(F.lit(1).alias("k"), F.lit(True).alias("ok")), step)
-    first = i - F.length(short) - end["k"] + 1
-    words = F.filter(F.slice(tokens, F.greatest(first, F.lit(0)) + 1, F.greatest(i - F.greatest(first, F.lit(0)), F.lit(0))), lambda w: ~w.isin("’", "(", "{", "["))
-    return F.when(end["ok"], F.trim(F.array_join(words, " ")))
+
+    def between(end: Column) -> Column:
+        first = F.greatest(i - F.length(short) - end["k"] + 1, F.lit(0))
+        words = F.filter(F.slice(tokens, first + 1, F.greatest(i - first, F.lit(0))), lambda w: ~w.isin("’", "(", "{", "["))
+        return F.when(end["ok"], F.trim(F.array_join(words, " ")))
+
+    return T.let(end, between)
 
 
 def abbreviation_pairs(sentences: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.config import Config
+from termloom.operators.matching import shuffled
 from termloom.operators.spans import covered, in_larger
 
 KEY = ["doc_id", "def_id"]
@@ -14,8 +15,8 @@ KEY = ["doc_id", "def_id"]
 def subjects(tokens: DataFrame, chunks: DataFrame) -> DataFrame:
     """(doc_id, sent_id, term, begin, end): per noun chunk (doc_id, sent_id, first, last), its first token that is the subject of a root."""
     head = tokens.select("doc_id", "sent_id", F.col("i").alias("head_i"), F.col("dep").alias("head_dep"))
-    named = tokens.filter("dep = 'nsubj'").join(head, ["doc_id", "sent_id", "head_i"]).filter("head_dep = 'ROOT'")
-    inside = chunks.join(named, ["doc_id", "sent_id"]).filter("i between first and last")
+    named = tokens.filter("dep = 'nsubj'").join(shuffled(head), ["doc_id", "sent_id", "head_i"]).filter("head_dep = 'ROOT'")
+    inside = chunks.join(shuffled(named), ["doc_id", "sent_id"]).filter("i between first and last")
     first = inside.groupBy("doc_id", "sent_id", "first").agg(F.min_by(F.struct(F.lower("text").alias("term"), F.col("idx").alias("begin"), (F.col("idx") + F.length("text")).alias("end")), "i").alias("x"))
     return first.select("doc_id", "sent_id", "x.term", "x.begin", "x.end")
 
@@ -41,7 +42,7 @@ def defined_terms(definitions: DataFrame, tokens: DataFrame, dependencies: DataF
     rows = joined.select("doc_id", F.col("o_def_id").alias("def_id"), *(F.col(f"i_{x}").alias(x) for x in spans.columns if x != "doc_id"))
     if c.use_regex:
         said = quoted.select(*KEY, "term", "begin", "end").distinct().withColumn("is_quoted", F.lit(True))
-        rows = rows.join(said, [*KEY, "term", "begin", "end"], "left")
+        rows = rows.join(shuffled(said), [*KEY, "term", "begin", "end"], "left")
     else:
         rows = rows.withColumn("is_quoted", F.lit(False))
     own = Window.partitionBy(*KEY)
@@ -62,7 +63,7 @@ def defined_terms(definitions: DataFrame, tokens: DataFrame, dependencies: DataF
         stages += staged(~F.col("in_any"), 3.0, c.fallback_to_tf_idf)
     if c.use_tagger and c.tagger_bio:
         if existing is not None:
-            rows = rows.join(existing.select("doc_id", "begin", "end").distinct().withColumn("is_known", F.lit(True)), ["doc_id", "begin", "end"], "left")
+            rows = rows.join(shuffled(existing.select("doc_id", "begin", "end").distinct().withColumn("is_known", F.lit(True))), ["doc_id", "begin", "end"], "left")
         new = F.col("is_known").isNull() if existing is not None else F.lit(True)
         stages.append(F.when(~F.col("is_token") & new, F.lit(4.0)))
     rows = rows.withColumn("stages", F.array_compact(F.array(*stages)) if stages else F.array().cast("array<double>"))

@@ -738,12 +738,15 @@ def term_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _concepts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Concept extraction over parsed names, of which every definition is one."""
-    parse = _parse(spark, sf_dir)
+    store = pipeline.stored_in(_folder(spark, "concepts"))
+    tokens, chunks = _parse(spark, sf_dir)
+    # a parse is a table that is read several times, not an expression to be worked out each time
+    parse = store(tokens, "parsed-tokens"), store(chunks, "parsed-chunks")
     more = F.when(F.col("doc_id") % 2 == 0, " in stock").otherwise("")
     texts = _part(spark, sf_dir).select("doc_id", F.concat(F.lit("the "), "p_name", F.lit(" of metal"), more, F.lit(" sells")).alias("text"))
     whole = texts.select("doc_id", F.lit(0).cast("long").alias("seg_id"), F.lit(0).cast("long").alias("begin"), F.length("text").cast("long").alias("end"), "text")
     lists = spark.sql("select * from values ('metal') as w(term)")
-    return pipeline.concept_extraction(texts, whole, whole.select("doc_id", F.col("seg_id").alias("def_id"), "begin", "end"), lists, lists.limit(0), parsed=parse, store=pipeline.stored_in(_folder(spark, "concepts")))
+    return pipeline.concept_extraction(texts, whole, whole.select("doc_id", F.col("seg_id").alias("def_id"), "begin", "end"), lists, lists.limit(0), parsed=parse, store=store)
 
 
 _VALID = f"string_split(p_name, ' ')[1] not in ({_list(invalid_words())}) and string_split(p_name, ' ')[2] not in ({_list(invalid_words())})"
