@@ -166,10 +166,11 @@ every as (select doc_id, term, score, 'idf' as origin, 1 as rank from scored uni
 select doc_id, term, arg_max(score, rank) as score, arg_max(origin, rank) as origin from every where term not in ({_list(BLACKLIST)}) and not regexp_full_match(term, '[0-9 _]+') group by doc_id, term""")
 def score_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which score a term keeps, with runs of words that begin with "the" as the quoted ones."""
-    scored = scoring.idf(_segments(spark, sf_dir), None, LONGEST - 1, "document")
-    regex = scored.filter(F.col("term").startswith("the")).select("doc_id", "term")
+    segments = _segments(spark, sf_dir)
+    tokens = segments.filter(F.lower("text").contains("the")).select("doc_id", T.word_tokens(F.col("text")).alias("w"))
+    regex = tokens.select("doc_id", F.explode(F.array_distinct(T.ngrams_from(F.col("w"), LONGEST, lambda t: t.startswith("the")))).alias("term"))
     listed = scoring.listed_terms(_table(spark, sf_dir, "documents"), _words(spark, WHITELIST))
-    return scoring.precedence(scored.select("doc_id", "term", "score"), regex, listed, _words(spark, BLACKLIST))
+    return scoring.document_precedence(segments, regex, listed, _words(spark, BLACKLIST), most=LONGEST - 1)
 
 
 def _definition_text() -> Column:

@@ -222,6 +222,42 @@ def test_runs_of_a_document_are_not_shuffled(spark):
     assert plan.count("Exchange hashpartitioning(doc_id") == plan.count("Exchange") == 1
 
 
+def test_document_precedence(spark, monkeypatch):
+    """The choice inside a document's row: what idf and precedence give, from one shuffle of texts and none of runs."""
+    rng = random.Random(6)
+    words = ("aa", "bb", "Über", "12", "x", "the", "naïve-ish")
+    rows = [(d, s, " ".join(rng.choice(words) for _ in range(rng.randrange(12)))) for d in range(9) for s in range(5)]
+    segments = spark.createDataFrame([*rows, (20, 0, ""), (21, 0, None), (22, 0, "bb bb bb bb")], "doc_id long, seg_id long, text string")
+    pairs = lambda *x: spark.createDataFrame(list(x), "doc_id long, term string")
+    regex = pairs((0, "the"), (0, "the"), (1, "aa bb"), (3, "not there"), (20, "only here"), (50, "no text"), (4, " "))
+    listed, tagger = pairs((0, "the"), (1, "bb"), (2, "aa"), (2, "7 7")), pairs((0, "aa"), (5, "tagged"), (3, "not there"))
+    blacklist = spark.createDataFrame([("bb aa",), ("über",)], "term string")
+    scored = scoring.idf(segments, scoring.segment_ngrams(segments, 3), 2)
+    want = scoring.precedence(scored.select("doc_id", "term", "score"), regex, listed, blacklist, tagger)
+    want = {(r["doc_id"], r["term"]): (r["score"], r["origin"]) for r in want.collect()}
+    for size, n in ((scoring.RUN_BYTES, scoring.RUN_ROWS), (40, 7)):
+        monkeypatch.setattr(scoring, "RUN_BYTES", size)
+        monkeypatch.setattr(scoring, "RUN_ROWS", n)
+        found = scoring.document_precedence(segments, regex, listed, blacklist, tagger, most=2)
+        got = found.collect()
+        assert len(got) == len(want) and {(r["doc_id"], r["term"]): (r["score"], r["origin"]) for r in got} == want
+    plan = _joins(scoring.document_precedence(segments, regex, listed, blacklist, tagger, most=2))
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "hashpartitioning(doc_id, term" not in plan
+    empty = scoring.document_precedence(segments.limit(0), regex.limit(0), listed.limit(0), blacklist, most=2)
+    assert empty.collect() == []
+
+
+def test_dictionary_terms_shuffles_no_pieces(spark):
+    rng = random.Random(7)
+    rows = [(d, "".join(rng.choice(("aa", "bb", " ", " ", "-", ".", "É", "aa bb")) for _ in range(rng.randrange(30)))) for d in range(60)]
+    texts = spark.createDataFrame([*rows, (90, None), (91, "")], "doc_id long, text string")
+    terms = spark.createDataFrame([(x,) for x in ("aa", "aa bb", "bb.", "é", "-", "bb aa bb", " ")], "term string")
+    found = matching.dictionary_terms(texts, terms, ["doc_id"])
+    want = matching.dictionary_matches(texts, terms, ["doc_id"]).select("doc_id", "term").distinct()
+    assert found.count() and sorted(found.collect()) == sorted(want.collect())
+    assert "Window" not in _joins(scoring.listed_terms(texts, terms))
+
+
 def test_spans_in_buckets_and_longest(spark, monkeypatch):
     rng = random.Random(12)
     rand = lambda n: [(rng.randrange(3), b, b + rng.choice((0, 1, 5, 40))) for b in (rng.randrange(200) for _ in range(n))]
