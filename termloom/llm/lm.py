@@ -30,6 +30,7 @@ they occur; with no training texts the counts are 0 and p(w) is uniform; an empt
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 from collections.abc import Iterator
@@ -55,10 +56,12 @@ LOWEST, CODES = -8.0, 255
 
 
 class EliasFano:
-    """A non-decreasing sequence of 64-bit numbers: whole bytes of low bits, and the rest in unary, found by select on zeros."""
+    """A non-decreasing sequence of 64-bit numbers: whole bytes of low bits, and the rest in unary, whose zeros tell where a high part's numbers stand."""
 
-    def __init__(self, n: int, low_bytes: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray) -> None:
-        self.n, self.low_bytes, self.low, self.high, self.zeros = n, low_bytes, low, high, zeros
+    def __init__(self, n: int, low_bytes: int, low: np.ndarray, high: np.ndarray) -> None:
+        self.n, self.low_bytes, self.low, self.high = n, low_bytes, low, high
+        # low parts of 1, 2 and 4 bytes are numbers as they stand
+        self.low_numbers = low.reshape(-1).view(f"u{low_bytes}") if low_bytes in (1, 2, 4) else None
 
     @staticmethod
     def arrays(x: np.ndarray) -> dict[str, np.ndarray]:
@@ -73,52 +76,52 @@ class EliasFano:
         flags = np.zeros((int(high[-1]) if n else 0) + n + 1, dtype=np.uint8)
         flags[high + np.arange(n)] = 1
         packed = np.packbits(np.concatenate([flags, np.zeros(-len(flags) % 64, dtype=np.uint8)]), bitorder="little")
-        ones = np.bitwise_count(packed.view(np.uint64)).astype(np.int64)
-        zeros = np.concatenate([[0], np.cumsum(64 - ones)])
-        return {"meta": np.array([n, k]), "low": low.reshape(-1), "high": packed, "zeros": zeros}
+        return {"meta": np.array([n, k]), "low": low.reshape(-1), "high": packed}
 
     @staticmethod
     def of(parts: dict[str, np.ndarray]) -> EliasFano:
         n, k = (int(v) for v in parts["meta"])
-        return EliasFano(n, k, parts["low"].reshape(n, k), parts["high"].view(np.uint64), parts["zeros"])
-
-    def _select0(self, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th zero (from 0) of the unary part."""
-        word = np.searchsorted(self.zeros, k, side="right") - 1
-        left = (k - self.zeros[word]).astype(np.int64)
-        bits = ~self.high[np.minimum(word, len(self.high) - 1)]
-        at = np.zeros(len(k), dtype=np.int64)
-        for width in (32, 16, 8, 4, 2, 1):
-            n = np.bitwise_count((bits >> at.astype(np.uint64)) & U((1 << width) - 1)).astype(np.int64)
-            skip = left >= n
-            left = np.where(skip, left - n, left)
-            at = np.where(skip, at + width, at)
-        return word * 64 + at
+        # plain views of mapped arrays, which are indexed faster
+        return EliasFano(n, k, np.asarray(parts["low"]).reshape(n, k), np.asarray(parts["high"]).view(np.uint64))
+
+    @functools.cached_property
+    def buckets(self) -> np.ndarray:
+        """How many numbers have a high part under each, and all: the unary part's zeros, selected once for all searches."""
+        zeros = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") == 0)
+        return np.concatenate([[0], zeros - np.arange(len(zeros))])
+
+    def lows(self, i: np.ndarray) -> np.ndarray:
+        """The low parts at places i."""
+        if self.low_numbers is not None:
+            return self.low_numbers[i]
+        wide = np.zeros((len(i), 8), dtype=np.uint8)
+        wide[:, : self.low_bytes] = self.low[i]
+        return wide.view(np.uint64).reshape(-1)
 
     def values(self, i: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The numbers at places i, their high parts being known."""
-        wide = np.zeros((len(i), 8), dtype=np.uint8)
-        wide[:, : self.low_bytes] = self.low[i]
-        return wide.view(np.uint64).reshape(-1) | (high.astype(np.uint64) << U(8 * self.low_bytes))
+        return self.lows(i).astype(np.uint64) | (high.astype(np.uint64) << U(8 * self.low_bytes))
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of the first number that is not under x, for each x, and whether it equals x. x as uint64."""
         if not self.n:
             return np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=bool)
-        h = (x >> U(8 * self.low_bytes)).astype(np.int64)
-        most = int(self.zeros[-1]) - 1
-        lower, upper = np.clip(h - 1, 0, most), np.minimum(h, most)
-        begin = np.where(h > 0, self._select0(lower) - lower, 0)
-        end = self._select0(upper) - upper
-        begin, end = np.minimum(begin, self.n), np.minimum(end, self.n)
-        last = end.copy()
-        while (open_ := begin < end).any():
-            middle = (begin + end) >> 1
-            under = open_ & (self.values(np.minimum(middle, self.n - 1), h) < x)
-            begin = np.where(under, middle + 1, begin)
-            end = np.where(open_ & ~under, middle, end)
+        h = np.minimum(x >> U(8 * self.low_bytes), U(len(self.buckets) - 1)).astype(np.int64)
+        begin, last = self.buckets[h], self.buckets[np.minimum(h + 1, len(self.buckets) - 1)]
+        low = x & U((1 << 8 * self.low_bytes) - 1)
+        # only searches that are not settled go on: most high parts have a number or two
+        open_ = np.flatnonzero(begin < last)
+        first, end, wanted = begin[open_], last[open_], low[open_]
+        while len(open_):
+            middle = (first + end) >> 1
+            under = self.lows(middle) < wanted
+            first, end = np.where(under, middle + 1, first), np.where(under, end, middle)
+            more = first < end
+            done = ~more
+            begin[open_[done]] = first[done]
+            open_, first, end, wanted = open_[more], first[more], end[more], wanted[more]
         there = begin < last
-        return begin, there & (self.values(np.minimum(begin, self.n - 1), h) == x)
+        return begin, there & (self.lows(np.minimum(begin, self.n - 1)) == low)
 
     def all(self) -> np.ndarray:
         """The sequence as int64."""

@@ -374,6 +374,19 @@ def test_elias_fano():
             assert equal.tolist() == np.isin(q, x).tolist()
 
 
+def test_elias_fano_searches_end_by_themselves(monkeypatch):
+    """One high part with very many numbers does not lengthen the searches among the others."""
+    x = np.concatenate([np.arange(4000), (np.arange(1, 3000) << 32) + 7]).astype(np.uint64)
+    e, looked = lm.EliasFano.of(lm.EliasFano.arrays(x)), []
+    for name in ("lows", "values"):
+        if f := getattr(lm.EliasFano, name, None):
+            monkeypatch.setattr(lm.EliasFano, name, lambda self, i, *a, f=f: looked.append(len(i)) or f(self, i, *a))
+    q = np.repeat(x[4000:], 20)
+    at, equal = e.successor(np.concatenate([q, x[:5]]))
+    assert equal.all() and at.tolist() == np.searchsorted(x, np.concatenate([q, x[:5]])).tolist()
+    assert sum(looked) < 3 * len(q)
+
+
 def toxic_corpus(n=900, seed=6):
     rng = random.Random(seed)
     rows, labels = [], []
