@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.filters import merged_pages
 from termloom.llm.graph import components
-from termloom.llm.shared import discard, give_back, small_batches, unused, written
+from termloom.llm.shared import discard, give_back, settings, small_batches, unused, written
 from termloom.llm.tokens import BLOCK, U, byte_table, mix, spaces, text_buffer, words_of
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 12, 4, 0.8
@@ -265,35 +265,53 @@ def still_apart(entries: DataFrame, similar: float) -> DataFrame:
     return met.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def by_shuffle(spark: SparkSession):
+    """Inside the block joins are by shuffle, never by broadcast: for small rows on both sides, many joins, and a driver that would hold each broadcast table."""
+    return settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+
+
 def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id) of docs (doc_id, text): class_id is the smallest doc_id of the class."""
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(idf_table(docs).tobytes())
     signed = written(spark, signatures(docs, idf), "signatures")
+
+    # small plans: the driver keeps each one and its every change, and one over all steps would fill its memory
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        with by_shuffle(spark):
+            return written(spark, df, name)
+
+    def linked(edges: DataFrame) -> DataFrame:
+        with by_shuffle(spark):
+            return components(spark, edges)
+
     # one row for each distinct text with words, named by its smallest document
     texts = signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("bands", ignorenulls=True).alias("bands")).filter(F.size("bands") > 0)
-    texts = written(spark, texts, "texts")
+    texts = kept(texts, "texts")
     buckets = texts.select("node", F.explode("bands").alias("bucket"))
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = written(spark, buckets.join(heads, "bucket"), "buckets")
+    members = kept(buckets.join(heads, "bucket"), "buckets")
     named = members.select(F.col("node").alias("doc_id")).distinct()
     wanted = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h1")).join(texts.join(named, texts["node"] == named["doc_id"], "left_semi").select(F.col("node").alias("doc_id"), "h1"), ["doc_id", "h1"])
     wanted = written(spark, wanted.select("doc_id", "text"), "candidates")
 
     def compare(pairs: DataFrame) -> DataFrame:
+        pairs = kept(pairs, "pairs")
         left = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         right = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        return written(spark, similarities(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), idf), "similarities")
+        out = written(spark, similarities(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), idf), "similarities")
+        discard(spark, pairs)
+        return out
 
     stars = compare(members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-    links = stars.filter(F.col("similarity") >= similar).select("a", "b")
-    first = components(spark, links)
+    first = linked(stars.filter(F.col("similarity") >= similar).select("a", "b"))
     # buckets that still hold several classes
-    placed = members.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    placed = kept(members.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
     open_nodes = placed.join(mixed, "bucket").groupBy("node").agg(F.first("component").alias("component"), F.collect_set("bucket").alias("bands"))
-    open_nodes = written(spark, open_nodes, "open")
+    open_nodes = kept(open_nodes, "open")
+    discard(spark, members, placed)
     rare = written(spark, prefixes(wanted.join(open_nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), idf, similar), "prefixes")
     done = stars.select("a", "b")
 
@@ -304,18 +322,22 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
         return apart.select("a", "b").join(done, ["a", "b"], "left_anti")
 
     heads = rare.groupBy("shingle").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    meeting = rare.join(heads, "shingle")
-    second = compare(open_pairs(meeting.select("a", F.col("node").alias("b")).distinct(), open_nodes))
+    meeting = kept(rare.join(heads, "shingle").select("a", F.col("node").alias("b")).distinct(), "meeting")
+    second = compare(open_pairs(meeting, open_nodes))
     done = done.unionByName(second.select("a", "b"))
-    links = links.unionByName(second.filter(F.col("similarity") >= similar).select("a", "b"))
-    again = components(spark, links)
-    now = open_nodes.join(again.withColumnRenamed("component", "_c"), "node", "left").select("node", F.coalesce("_c", "component").alias("component"), "bands")
-    entries = meeting.select("shingle", "node", "before", "total").join(now, "node")
+    # the classes found so far, each a star, and the links among them
+    links = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second.filter(F.col("similarity") >= similar).select("a", "b"))
+    again = linked(links)
+    now = kept(open_nodes.join(again.withColumnRenamed("component", "_c"), "node", "left").select("node", F.coalesce("_c", "component").alias("component"), "bands"), "now")
+    entries = rare.join(now, "node")
     several = entries.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
-    met = still_apart(entries.join(several, "shingle", "left_semi"), similar)
-    rest = compare(open_pairs(met, now)).filter(F.col("similarity") >= similar)
-    found = written(spark, components(spark, links.unionByName(rest.select("a", "b"))), "components")
-    discard(spark, members, wanted, open_nodes, rare, stars, second)
+    entries = kept(entries.join(several, "shingle", "left_semi"), "entries")
+    discard(spark, meeting, rare)
+    met = kept(still_apart(entries, similar), "met")
+    rest = compare(open_pairs(met, now))
+    links = again.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest.filter(F.col("similarity") >= similar).select("a", "b"))
+    found = kept(linked(links), "components")
+    discard(spark, wanted, open_nodes, stars, second, now, entries, met, rest)
     by_text = texts.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     with_words = signed.select("doc_id", "h1", "h2").join(by_text, ["h1", "h2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     return with_words.unionByName(docs.filter("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id")))

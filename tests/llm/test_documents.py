@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import corpus
-from termloom.llm import bpe, contamination, filters, licenses, lm, neardup, substrings, toxicity
+from termloom.llm import bpe, contamination, filters, graph, licenses, lm, neardup, substrings, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -156,6 +156,25 @@ def test_one_large_group(spark):
     assert got == want
 
 
+def test_near_duplicate_plans_are_small(spark, docs, monkeypatch):
+    """Each written table has a small plan, and small rows are never broadcast: both would stay in the driver's memory."""
+    plans = {}
+
+    def noted(session, df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return written(session, df, name)
+
+    written = neardup.written
+    monkeypatch.setattr(neardup, "written", noted)
+    monkeypatch.setattr(graph, "written", noted)
+    neardup.classes(spark, docs)
+    assert max(len(re.findall(r"\bExchange ", p)) for x in plans.values() for p in x) <= 16
+    with_texts = {"signatures", "candidates", "similarities", "prefixes"}
+    assert plans.keys() > with_texts
+    assert not [k for k, x in plans.items() if k not in with_texts and any("BroadcastExchange" in p for p in x)]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     sampler = neardup.Sampler()
     rng = np.random.default_rng(1)
